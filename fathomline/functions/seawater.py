@@ -1,8 +1,9 @@
 """Seawater properties as native column expressions.
 
 Published standards: TEOS-10 (75-term specific volume, Gibbs function pieces), PSS-78, Garcia & Gordon 1992.
-Every function takes and returns Columns, so a whole chain stays inside generated code. Long chains are laid out by
-``with_properties`` in steps of one select each; a value used twice is a column, not a repeated expression.
+Every function takes SQL fragments (a column name, a number) and returns a SQL expression for ``F.expr`` or
+``selectExpr``: one parsed string per formula instead of a thousand calls per plan, and the whole chain stays inside
+generated code. Fragments that are used repeatedly should be columns, see ``with_properties``.
 """
 
 from functools import reduce
@@ -103,13 +104,14 @@ ENTHALPY_SALINE = [
 ]
 
 
-def poly(coefficients, v):
-    """Horner form; coefficients from the constant upwards, numbers or Columns."""
-    return reduce(lambda acc, c: acc * v + c, reversed(coefficients[:-1]), _lit(coefficients[-1]))
+def number(value):
+    """A DOUBLE literal; fragments pass through."""
+    return f"{value!r}D" if isinstance(value, float) else str(value)
 
 
-def _lit(value):
-    return F.lit(value) if isinstance(value, (int, float)) else value
+def poly(coefficients, v):
+    """Horner form; coefficients from the constant upwards, numbers or fragments. ``v`` is a short fragment."""
+    return reduce(lambda acc, c: f"({acc} * {v} + {number(c)})", reversed(coefficients[:-1]), number(coefficients[-1]))
 
 
 def _poly2(rows, y, z):
@@ -119,46 +121,50 @@ def _poly2(rows, y, z):
 
 def _saline(parts, x2, x):
     """x^2 times the polynomial in x whose coefficients are ``parts``."""
-    return x2 * poly(parts, x)
+    return f"{x2} * {poly(parts, x)}"
 
 
 def absolute_salinity(practical, saar=None):
     """Absolute salinity; ``saar`` is the geographic anomaly ratio, 0 where there is none."""
-    scaled = practical * (REFERENCE_SALINITY / 35.0)
-    return scaled if saar is None else scaled * (1.0 + F.coalesce(saar, F.lit(0.0)))
+    scaled = f"{practical} * {number(REFERENCE_SALINITY / 35.0)}"
+    return scaled if saar is None else f"{scaled} * (1D + coalesce({saar}, 0D))"
 
 
 def depth_from_pressure(pressure, latitude):
-    """Depth in m, positive down. ``latitude`` is a number or a Column in degrees."""
-    sin2 = F.pow(F.sin(F.radians(_lit(latitude))), 2)
-    b = (1.0 + (5.2792e-3 + 2.32e-5 * sin2) * sin2) * 9.780327
-    a = b * (-0.5 * 2.26e-7)
+    """Depth in m, positive down. ``latitude`` is a number or a fragment in degrees."""
+    sin2 = f"pow(sin(radians({number(latitude)})), 2)"
+    b = f"({poly([1.0, 5.2792e-3, 2.32e-5], sin2)} * 9.780327D)"
     # Specific volume anomaly of the standard ocean, integrated.
-    w = pressure * 1e-4
-    c = w * 1e8 * poly([9.726613854843870e-4, -2.252956605630465e-5, 2.376909655387404e-6, -1.664294869986011e-7,
-                        -5.988108894465758e-9, -2.1078768810e-9, 2.8019291329e-10], w)
-    return c * 2.0 / (b + F.sqrt(b * b - a * c * 4.0))
+    w = f"({pressure} * 1e-4D)"
+    c = "(1e8D * " + w + " * " + poly([
+        9.726613854843870e-4, -2.252956605630465e-5, 2.376909655387404e-6, -1.664294869986011e-7,
+        -5.988108894465758e-9, -2.1078768810e-9, 2.8019291329e-10], w) + ")"
+    return f"2D * {c} / ({b} + sqrt({b} * {b} + 4D * 0.5D * 2.26e-7D * {b} * {c}))"
 
 
 def entropy_part(x2, x, y, z=None):
-    return (_poly2(ENTROPY_PURE, y, z) + _saline([_poly2(p, y, z) for p in ENTROPY_SALINE], x2, x)) * -0.025
+    saline = _saline([_poly2(p, y, z) for p in ENTROPY_SALINE], x2, x)
+    return f"-0.025D * ({_poly2(ENTROPY_PURE, y, z)} + {saline})"
 
 
 def curvature(x2, x, y):
-    return (poly(CURVATURE_PURE, y) + _saline([poly(p, y) for p in CURVATURE_SALINE], x2, x)) * 0.000625
+    saline = _saline([poly(p, y) for p in CURVATURE_SALINE], x2, x)
+    return f"0.000625D * ({poly(CURVATURE_PURE, y)} + {saline})"
 
 
 def conservative_temperature(x2, x, y):
     """``y`` is 0.025 times potential temperature."""
-    saline = _saline([poly(p, y) if len(p) > 1 else p[0] for p in ENTHALPY_SALINE], x2, x)
-    return (poly(ENTHALPY_PURE, y) + saline) / HEAT_CAPACITY
+    saline = _saline([poly(p, y) for p in ENTHALPY_SALINE], x2, x)
+    return f"({poly(ENTHALPY_PURE, y)} + {saline}) / {number(HEAT_CAPACITY)}"
 
 
 def potential_start(sa, t, p):
     """First guess of potential temperature (surface reference)."""
-    s1 = sa * (35.0 / REFERENCE_SALINITY)
-    inner = s1 * 2.83933368585534e-8 + t * 1.77803965218656e-8 + p * 1.71155619208233e-10 + -8.38241357039698e-6
-    return t + p * (8.65483913395442e-6 - s1 * 1.41636299744881e-6 - p * 7.38286467135737e-9 + t * inner)
+    s1 = f"{sa} * {number(35.0 / REFERENCE_SALINITY)}"
+    inner = (f"(-8.38241357039698e-6D + {s1} * 2.83933368585534e-8D + {t} * 1.77803965218656e-8D"
+             f" + {p} * 1.71155619208233e-10D)")
+    return (f"{t} + {p} * (8.65483913395442e-6D - {s1} * 1.41636299744881e-6D - {p} * 7.38286467135737e-9D"
+            f" + {t} * {inner})")
 
 
 def volume(xs, ys, zs, by=""):
@@ -183,95 +189,111 @@ def volume(xs, ys, zs, by=""):
 
 
 def salinity_root(sa):
-    return F.sqrt(sa * SALINITY_SCALE + SALINITY_SHIFT)
+    return f"sqrt({sa} * {number(SALINITY_SCALE)} + {number(SALINITY_SHIFT)})"
 
 
 def density(sa, ct, p):
-    return 1.0 / volume(salinity_root(sa), ct * 0.025, p * 1e-4)
+    return f"1D / {volume(salinity_root(sa), f'({ct} * 0.025D)', f'({p} * 1e-4D)')}"
+
+
+def oxygen_log(potential):
+    """The scaled temperature of ``oxygen_solubility``."""
+    return f"ln((298.15D - 1.00024D * {potential}) / (273.15D + 1.00024D * {potential}))"
 
 
-def oxygen_solubility(practical, potential):
-    """umol/kg from practical salinity and potential temperature."""
-    t68 = potential * 1.00024
-    y = F.log((298.15 - t68) / (t68 + 273.15))
+def oxygen_solubility(practical, y):
+    """umol/kg from practical salinity and the scaled potential temperature ``oxygen_log``."""
     # Garcia & Gordon 1992, Benson & Krause refit.
     free = poly([5.80871, 3.20291, 4.17887, 5.10006, -9.86643e-2, 3.80369], y)
-    saline = poly([-7.01577e-3, -7.70028e-3, -1.13864e-2, -9.51519e-3], y) - practical * 2.75915e-7
-    return F.exp(free + practical * saline)
+    saline = poly([-7.01577e-3, -7.70028e-3, -1.13864e-2, -9.51519e-3], y)
+    return f"exp({free} + {practical} * ({saline} - 2.75915e-7D * {practical}))"
 
 
 def oxygen_mgkg(t, s, saturation):
-    k = t + 273.15
+    inverse = f"(1D / ({t} + 273.15D))"
     # Benson & Krause 1984, per mass.
-    free = poly([-138.74202, 1.572288e5, -6.637149e7, 1.243678e10, -8.621061e11], 1.0 / k)
-    return saturation * F.exp(free - s * poly([0.020573, -12.142, 2363.1], 1.0 / k)) / 100.0
+    free = poly([-138.74202, 1.572288e5, -6.637149e7, 1.243678e10, -8.621061e11], inverse)
+    return f"{saturation} * exp({free} - {s} * {poly([0.020573, -12.142, 2363.1], inverse)}) / 100D"
 
 
 def oxygen_mgl(t, s, saturation):
-    h = (t + 273.15) / 100.0
+    h = f"(({t} + 273.15D) / 100D)"
     # Weiss 1970, ml to mg.
-    free = 249.6339 / h + F.log(h) * 143.3483 - h * 21.8492 - 173.4292
-    return saturation * F.exp(free + s * poly([-0.033096, 0.014259, -0.0017], h)) * 1.428 / 100.0
+    free = f"249.6339D / {h} + 143.3483D * ln({h}) - 21.8492D * {h} - 173.4292D"
+    return f"{saturation} * 1.428D * exp({free} + {s} * {poly([-0.033096, 0.014259, -0.0017], h)}) / 100D"
 
 
 def salinity_15c(conductivity):
     """Practical salinity at 15 degrees from conductivity in S/m."""
-    r = F.sqrt(conductivity / 4.2914)
-    return poly([0.0080, -0.1692, 25.3851, 14.0941, -7.0261, 2.7081], r)
+    return poly([0.0080, -0.1692, 25.3851, 14.0941, -7.0261, 2.7081], f"sqrt({conductivity} / 4.2914D)")
 
 
-def practical_salinity(ratio, t90, p):
-    """PSS-78 from the conductivity ratio."""
-    t = t90 * 1.00024
+def ratio_root(ratio, t90, p):
+    """Square root of the conductivity ratio reduced to the surface, for ``practical_salinity``."""
+    t = f"(1.00024D * {t90})"
     # PSS-78.
     rt = poly([0.6766097, 2.00564e-2, 1.104259e-4, -6.9698e-7, 1.0031e-9], t)
-    rp = 1.0 + p * poly([2.070e-5, -6.370e-10, 3.989e-15], p) / (
-        1.0 + t * poly([3.426e-2, 4.464e-4], t) + ratio * poly([4.215e-1, -3.107e-3], t))
-    r = F.sqrt(ratio / (rp * rt))
-    d = t - 15.0
-    return (poly([0.008, -0.1692, 25.3851, 14.0941, -7.0261, 2.7081], r)
-            + d / (1.0 + d * 0.0162) * poly([0.0005, -0.0056, -0.0066, -0.0375, 0.0636, -0.0144], r))
+    rp = (f"(1D + {p} * {poly([2.070e-5, -6.370e-10, 3.989e-15], p)}"
+          f" / (1D + {t} * {poly([3.426e-2, 4.464e-4], t)} + {ratio} * {poly([4.215e-1, -3.107e-3], t)}))")
+    return f"sqrt({ratio} / ({rp} * {rt}))"
+
+
+def practical_salinity(root, t90):
+    """PSS-78 from ``ratio_root``."""
+    d = f"(1.00024D * {t90} - 15D)"
+    # PSS-78.
+    return (poly([0.008, -0.1692, 25.3851, 14.0941, -7.0261, 2.7081], root) + f" + {d} / (1D + 0.0162D * {d}) * "
+            + poly([0.0005, -0.0056, -0.0066, -0.0375, 0.0636, -0.0144], root))
 
 
-def with_absolute_salinity(df, practical, saar=None):
-    """Steps shared by temperature and density: columns ``_SA``, ``_x2`` and ``_x``."""
-    df = df.withColumn("_SA", absolute_salinity(F.col(practical), saar))
-    df = df.withColumn("_x2", F.col("_SA") * SALINITY_SCALE)
-    return df.withColumn("_x", F.sqrt("_x2"))
+def with_columns(df, **expressions):
+    """Columns from SQL expressions, in one select."""
+    return df.withColumns({name: F.expr(text) for name, text in expressions.items()})
 
 
 def with_properties(df, pressure="pressure_dbar", temperature="temperature_C", practical="salinity_psu", saar=None):
     """Add ``_SA``, ``_CT``, ``pot_temp_C`` and ``density_kg_m3``.
 
-    Potential temperature is two Newton steps with the slope renewed halfway; each step is one select.
+    Potential temperature is two Newton steps with the slope renewed halfway. Each select uses the columns of the ones
+    before, so no value is computed twice.
     """
-    x2, x, t, p = F.col("_x2"), F.col("_x"), F.col(temperature), F.col("_p")
-    df = with_absolute_salinity(df.withColumn("_p", F.abs(pressure)), practical, saar)
-    df = df.withColumns({
-        "_here": entropy_part(x2, x, t * 0.025, p * 1e-4),
-        "_g0": potential_start(F.col("_SA"), t, p),
-    })
-    df = df.withColumn("_slope", HEAT_CAPACITY / (
-        (F.col("_g0") + 273.15) * (1.0 - (1.0 - F.col("_SA") / REFERENCE_SALINITY) * 0.05)))
-    for guess, refined in (("_g0", "_g1"), ("_g1", "_g2")):
-        old, slope = F.col(guess), F.col("_slope")
-        df = df.withColumn("_miss", entropy_part(x2, x, old * 0.025) - F.col("_here"))
-        df = df.withColumn("_mid", old - F.col("_miss") / slope)
-        df = df.withColumn("_slope", -curvature(x2, x, (F.col("_mid") + old) * 0.0125))
-        df = df.withColumn(refined, old - F.col("_miss") / slope)
-    df = df.withColumnRenamed("_g2", "pot_temp_C")
-    df = df.withColumn("_CT", conservative_temperature(x2, x, F.col("pot_temp_C") * 0.025))
-    df = df.withColumns({"_xs": salinity_root(F.col("_SA")), "_ys": F.col("_CT") * 0.025, "_zs": p * 1e-4})
-    df = df.withColumn("density_kg_m3", 1.0 / volume(F.col("_xs"), F.col("_ys"), F.col("_zs")))
-    return df.drop("_x2", "_x", "_p", "_here", "_g0", "_g1", "_slope", "_miss", "_mid", "_xs", "_ys", "_zs")
-
-
-def buoyancy_frequency(sa1, ct1, p1, sa2, ct2, p2):
-    """N2 between two rows of a cast; not finite -> NULL."""
-    sa, ct, p = (sa1 + sa2) * 0.5, (ct1 + ct2) * 0.5, (p1 + p2) * 0.5
-    xs, ys, zs = salinity_root(sa), ct * 0.025, p * 1e-4
-    v = volume(xs, ys, zs)
-    alpha = volume(xs, ys, zs, "y") * 0.025 / v
-    beta = volume(xs, ys, zs, "x") * (-0.5 * SALINITY_SCALE) / xs / v
-    n2 = F.try_divide((beta * (sa2 - sa1) - alpha * (ct2 - ct1)) * (GRAVITY * GRAVITY), v * (p2 - p1) * 1e4)
-    return F.when(F.isnan(n2) | (F.abs(n2) == float("inf")), None).otherwise(n2)
+    def miss(guess):
+        return entropy_part("_x2", "_x", f"({guess} * 0.025D)") + " - _here"
+
+    def bend(new, old):
+        return "-" + curvature("_x2", "_x", f"(({new} + {old}) * 0.0125D)")
+
+    df = with_columns(df, _p=f"abs({pressure})", _SA=absolute_salinity(practical, saar), _t=f"{temperature} * 0.025D")
+    df = with_columns(df, _x2=f"_SA * {number(SALINITY_SCALE)}", _x=f"sqrt(_SA * {number(SALINITY_SCALE)})",
+                      _z="_p * 1e-4D", _g0=potential_start("_SA", temperature, "_p"))
+    df = with_columns(df, _here=entropy_part("_x2", "_x", "_t", "_z"), _slope0=(
+        f"{number(HEAT_CAPACITY)} / ((273.15D + _g0) * (1D - 0.05D * (1D - _SA / {number(REFERENCE_SALINITY)})))"))
+    df = with_columns(df, _miss0=miss("_g0"))
+    df = with_columns(df, _half="_g0 - _miss0 / _slope0")
+    df = with_columns(df, _slope1=bend("_half", "_g0"))
+    df = with_columns(df, _g1="_g0 - _miss0 / _slope1")
+    df = with_columns(df, _miss1=miss("_g1"))
+    df = with_columns(df, _half="_g1 - _miss1 / _slope1")
+    df = with_columns(df, pot_temp_C=f"_g1 - _miss1 / ({bend('_half', '_g1')})")
+    df = with_columns(df, _pt="pot_temp_C * 0.025D", _xs=salinity_root("_SA"))
+    df = with_columns(df, _CT=conservative_temperature("_x2", "_x", "_pt"))
+    df = with_columns(df, _ys="_CT * 0.025D")
+    df = with_columns(df, density_kg_m3=f"1D / {volume('_xs', '_ys', '_z')}")
+    return df.drop("_p", "_t", "_x2", "_x", "_z", "_g0", "_here", "_slope0", "_miss0", "_half", "_slope1", "_g1",
+                   "_miss1", "_pt", "_xs", "_ys")
+
+
+def with_buoyancy(pairs, sa="_SA", ct="_CT", p="_p", after="next_"):
+    """Add ``N2`` to rows that carry salinity, temperature and pressure of two levels; not finite -> NULL."""
+    def mean(c):
+        return f"({c} + {after}{c}) * 0.5D"
+
+    pairs = with_columns(pairs, _xs=salinity_root(f"({mean(sa)})"), _ys=f"{mean(ct)} * 0.025D", _zs=f"{mean(p)} * 1e-4D")
+    pairs = with_columns(pairs, _v=volume("_xs", "_ys", "_zs"), _vx=volume("_xs", "_ys", "_zs", "x"),
+                         _vy=volume("_xs", "_ys", "_zs", "y"))
+    beta = f"(-0.5D * {number(SALINITY_SCALE)} * _vx / _xs / _v)"
+    pairs = with_columns(pairs, N2=(
+        f"try_divide({number(GRAVITY * GRAVITY)} * ({beta} * ({after}{sa} - {sa}) - 0.025D * _vy / _v *"
+        f" ({after}{ct} - {ct})), _v * 1e4D * ({after}{p} - {p}))"))
+    finite = ~F.isnan("N2") & (F.abs("N2") < float("inf"))
+    return pairs.withColumn("N2", F.when(finite, F.col("N2"))).drop("_xs", "_ys", "_zs", "_v", "_vx", "_vy")

@@ -7,7 +7,7 @@ however long one cast is, its rows stay spread over the tasks that read them.
 from pyspark.sql import functions as F
 
 from fathomline import schema
-from fathomline.operators.sequence import exact_median
+from fathomline.operators.sequence import CHUNK, exact_median
 
 # An air oxygen offset beyond this is a bad reading; pH outside this range is dropped.
 MAX_OXYGEN_OFFSET = 50.0
@@ -30,13 +30,13 @@ def air_water_split(scans, limit=None):
     return scans.withColumn("medium", F.when(F.col(COND) < t, "air").when(F.col(COND) > t, "water"))
 
 
-def air_offsets(scans, cast="cast_id", limit=None):
+def air_offsets(scans, cast="cast_id", limit=None, size=CHUNK):
     """One row per cast that has air scans: count, pressure and oxygen offsets, mean PAR in air."""
     schema.require(scans, [cast, "ctd_type", COND, PRES, OXY])
     air = scans.where(F.col(COND) < threshold(limit=limit))
     par = F.avg(PAR) if PAR in scans.columns else F.lit(None).cast("double")
     counts = air.groupBy(cast).agg(F.count("*").alias("n_air"), par.alias("PAR_avg_air"))
-    middles = exact_median(air, [cast], [PRES, OXY]).withColumnsRenamed({PRES: "_pressure", OXY: "_oxygen"})
+    middles = exact_median(air, [cast], [PRES, OXY], size).withColumnsRenamed({PRES: "_pressure", OXY: "_oxygen"})
     raw = F.col("_oxygen") - 100.0
     return counts.join(middles, cast, "left").select(
         cast, "n_air", F.col("_pressure").alias("pressure_offset"),
@@ -44,12 +44,12 @@ def air_offsets(scans, cast="cast_id", limit=None):
         (F.abs(raw) > MAX_OXYGEN_OFFSET).alias("bad_air_oxygen"), "PAR_avg_air")
 
 
-def air_correct(scans, cast="cast_id", limit=None, offsets=None):
+def air_correct(scans, cast="cast_id", limit=None, offsets=None, size=CHUNK):
     """Water rows with corrected pressure and oxygen; casts without air rows come back as they are.
 
     ``_keep`` says whether a row survives; ``apply_keep`` turns it into the filter.
     """
-    offsets = air_offsets(scans, cast, limit) if offsets is None else offsets
+    offsets = air_offsets(scans, cast, limit, size) if offsets is None else offsets
     rows = scans.join(offsets.select(cast, "n_air", "pressure_offset", "oxygen_offset", "PAR_avg_air"), cast, "left")
     has_air = F.col("n_air").isNotNull()
     corrected = F.col(PRES) - F.col("pressure_offset")
@@ -88,9 +88,9 @@ def ph_qc(column="ph"):
     return F.when(F.col(column).between(*PH_RANGE), F.col(column))
 
 
-def qc_report(scans, cast="cast_id", limit=None):
+def qc_report(scans, cast="cast_id", limit=None, size=CHUNK):
     """One row per cast: what the cleaning found worth a warning."""
-    offsets = air_offsets(scans, cast, limit)
+    offsets = air_offsets(scans, cast, limit, size)
     rows = air_correct(scans, cast, limit, offsets)
     water = F.col(COND) > threshold(limit=limit)
     has_air = F.col("n_air").isNotNull()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fathomline import schema
 from fathomline.functions import seawater
 from fathomline.operators import sequence
+from fathomline.storage import save_stage
 
 # Rows deeper than this count for the mixed layer; differences that end it.
 MLD_MIN_PRESSURE = 1.0
@@ -20,7 +21,7 @@ PRES, TEMP, SAL, OXY = "pressure_dbar", "temperature_C", "salinity_psu", "oxygen
 
 def with_depth(rows, cast="cast_id", latitude=schema.SITE_LATITUDE):
     """``depth_m`` from pressure for casts that measured none; measured depths stay."""
-    depth = seawater.depth_from_pressure(F.col(PRES), latitude)
+    depth = F.expr(seawater.depth_from_pressure(PRES, latitude))
     if "depth_m" not in rows.columns:
         return rows.withColumn("depth_m", depth)
     measured = rows.groupBy(cast).agg(F.bool_or(F.col("depth_m").isNotNull()).alias("_measured"))
@@ -30,14 +31,12 @@ def with_depth(rows, cast="cast_id", latitude=schema.SITE_LATITUDE):
 
 def with_oxygen(rows):
     """Solubility (from potential temperature) and the two concentrations (from in-situ temperature)."""
-    t, s, o = F.col(TEMP), F.col(SAL), F.col(OXY)
-    rows = rows.withColumn("o2_solubility_mll",
-                           seawater.oxygen_solubility(s, F.col("pot_temp_C")) * seawater.ML_PER_UMOL)
-    return rows.withColumns({
-        "o2_solubility_mgl": F.col("o2_solubility_mll") * seawater.MG_PER_ML,
-        "o2_mgkg": seawater.oxygen_mgkg(t, s, o),
-        "o2_mgl": seawater.oxygen_mgl(t, s, o),
-    })
+    rows = seawater.with_columns(rows, _y=seawater.oxygen_log("pot_temp_C"))
+    rows = seawater.with_columns(
+        rows, o2_solubility_mll=f"{seawater.oxygen_solubility(SAL, '_y')} * {seawater.ML_PER_UMOL}D",
+        o2_mgkg=seawater.oxygen_mgkg(TEMP, SAL, OXY), o2_mgl=seawater.oxygen_mgl(TEMP, SAL, OXY))
+    return seawater.with_columns(
+        rows, o2_solubility_mgl=f"o2_solubility_mll * {seawater.MG_PER_ML}D").drop("_y")
 
 
 def with_vendor_salinity(rows, divisor=VENDOR_CONDUCTIVITY, active=None):
@@ -47,10 +46,13 @@ def with_vendor_salinity(rows, divisor=VENDOR_CONDUCTIVITY, active=None):
     """
     vendor = F.lower("ctd_type") == "seabird"
     vendor = vendor if active is None else vendor & active
-    ratio = F.col("conductivity_mS_per_m") / divisor
-    fresh = seawater.practical_salinity(ratio, F.col(TEMP), F.col(PRES))
-    return rows.withColumn("salinity_psu_seabird", F.when(vendor, F.col(SAL))).withColumn(
-        SAL, F.when(vendor, F.when(~F.isnan(fresh), fresh)).otherwise(F.col(SAL)))
+    ratio = f"(conductivity_mS_per_m / {seawater.number(float(divisor))})"
+    rows = seawater.with_columns(rows, _root=seawater.ratio_root(ratio, TEMP, PRES))
+    rows = seawater.with_columns(rows, _fresh=seawater.practical_salinity("_root", TEMP))
+    return rows.withColumns({
+        "salinity_psu_seabird": F.when(vendor, F.col(SAL)),
+        SAL: F.when(vendor, F.when(~F.isnan("_fresh"), F.col("_fresh"))).otherwise(F.col(SAL)),
+    }).drop("_root", "_fresh")
 
 
 def _layer_ends(order):
@@ -96,24 +98,22 @@ def cast_marks(rows, cast="cast_id", order="scan"):
         F.min(F.when(F.col("depth_m") == F.col("_deepest"), F.col(order))).alias("downcast_end"))
 
 
-def n2_pairs(rows, cast="cast_id", order="scan"):
+def n2_pairs(rows, cast="cast_id", order="scan", size=sequence.CHUNK):
     """Buoyancy frequency between consecutive rows with a pressure change after them.
 
     Input rows carry ``_SA`` and ``_CT``. Output: ``mid_no`` (the upper row's order), ``p_mid``, ``N2``. The pressure is
     absolute; a row stays when the next row's pressure differs, so the last row never stays.
     """
     points = rows.select(cast, order, F.abs(PRES).alias("_p"), "_SA", "_CT")
-    points = sequence.next_row(points, [cast], order, ["_p"])
+    points = sequence.next_row(points, [cast], order, ["_p"], size)
     kept = points.where(F.col("next__p").isNotNull() & (F.col("next__p") != F.col("_p"))).select(
         cast, order, "_p", "_SA", "_CT")
-    pairs = sequence.next_row(kept, [cast], order, ["_p", "_SA", "_CT"]).where(F.col(f"next_{order}").isNotNull())
-    return pairs.select(
-        cast, F.col(order).alias("mid_no"), ((F.col("_p") + F.col("next__p")) * 0.5).alias("p_mid"),
-        seawater.buoyancy_frequency(F.col("_SA"), F.col("_CT"), F.col("_p"),
-                                    F.col("next__SA"), F.col("next__CT"), F.col("next__p")).alias("N2"))
+    pairs = sequence.next_row(kept, [cast], order, ["_p", "_SA", "_CT"], size).where(F.col(f"next_{order}").isNotNull())
+    pairs = seawater.with_buoyancy(pairs)
+    return pairs.select(cast, F.col(order).alias("mid_no"), ((F.col("_p") + F.col("next__p")) * 0.5).alias("p_mid"), "N2")
 
 
-def n2_nearest(rows, pairs, cast="cast_id", order="scan"):
+def n2_nearest(rows, pairs, cast="cast_id", order="scan", size=sequence.CHUNK):
     """Each mid-point's N2 on the scan nearest in pressure; ``(cast, scan, N2)``.
 
     Ties go to the smaller scan, and of several mid-points on one scan the last stays. Points and mid-points are first
@@ -126,8 +126,11 @@ def n2_nearest(rows, pairs, cast="cast_id", order="scan"):
     # Points and mid-points at the same pressure share a row, so the order within a cast is strict.
     axis = points.join(mids, [cast, "_at"], "full").withColumn(
         "_point", F.when(F.col("_scan").isNotNull(), F.struct(F.col("_at").alias("p"), F.col("_scan").alias("s"))))
-    axis = sequence.last_known(axis, [cast], "_at", "_point", "_below", BAND)
-    axis = sequence.last_known(axis, [cast], "_at", "_point", "_above", BAND, later=True)
+    if size is not None:
+        axis = save_stage(axis, "axis")
+    band = None if size is None else BAND
+    axis = sequence.last_known(axis, [cast], "_at", "_point", "_below", band)
+    axis = sequence.last_known(axis, [cast], "_at", "_point", "_above", band, later=True)
     down, up = F.col("_at") - F.col("_below.p"), F.col("_above.p") - F.col("_at")
     target = (F.when(F.col("_above").isNull() | (down < up), F.col("_below.s"))
               .when(F.col("_below").isNull() | (up < down), F.col("_above.s"))

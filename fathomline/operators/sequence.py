@@ -1,13 +1,16 @@
-"""Operators over rows whose order has meaning, built so that no task ever holds one whole cast.
+"""Operators over rows whose order has meaning, built so that no task ever holds one unbounded cast.
 
-A cast may hold a third of all rows. Windows therefore run inside ``(cast, chunk)`` groups, a chunk being a fixed range
-of the order column, and what crosses a chunk border travels through a summary with one row per chunk:
+A cast may hold a third of all rows. Windows then run inside ``(cast, chunk)`` groups, a chunk being a fixed range of
+the order column, and what crosses a chunk border travels through a summary with one row per chunk:
 
 * ``with_halo``    copies the rows near a border to the neighbouring chunk (fixed reach: smoothing, thinning);
 * ``next_row``     the following row of the cast, however many empty chunks lie between;
 * ``last_known``   the nearest earlier (or later) non-missing value;
 * ``running_sum``  prefix sums;
 * ``number_rows``  a dense row number, by a range sort instead of a window.
+
+``chunk_size`` measures the largest key first. While that is small, ``size`` is None: one chunk per key, no summaries.
+Results are the same either way.
 """
 
 from pyspark.sql import Window
@@ -16,16 +19,28 @@ from pyspark.sql import functions as F
 from fathomline.storage import save_stage
 
 CHUNK = 65536
+# Rows of one key that one window task may hold; a sort of this many narrow rows stays in memory.
+WHOLE_LIMIT = 1_000_000
+
+
+def chunk_size(df, keys, limit=WHOLE_LIMIT, size=CHUNK):
+    """None when every key is small enough to be one chunk, else ``size``. Runs one count over the key columns."""
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return None if (largest or 0) <= limit else size
 
 
 def chunk_of(order, size=CHUNK):
     """Chunk number of an order value: BIGINT for row numbers and readings alike."""
+    if size is None:
+        return F.lit(0).cast("bigint")
     return F.floor(F.col(order) / F.lit(size)).cast("bigint")
 
 
 def with_halo(df, order, reach, size=CHUNK):
     """Add ``_chunk`` and ``_core``; rows within ``reach`` of a border also appear, not core, in the next chunk over."""
     home = chunk_of(order, size)
+    if size is None:
+        return df.withColumns({"_chunk": home, "_core": F.lit(True)})
     place = F.col(order) - home * size
     near = F.array(
         F.when((place < reach) & (home > 0), home - 1),
@@ -39,9 +54,12 @@ def with_halo(df, order, reach, size=CHUNK):
 
 def next_row(df, keys, order, columns, size=CHUNK, prefix="next_"):
     """Values of the following row of the same key as ``prefix + column``; NULL on the last row."""
+    wanted = list(dict.fromkeys([order, *columns]))
+    if size is None:
+        whole = Window.partitionBy(*keys).orderBy(order)
+        return df.withColumns({prefix + c: F.lead(c).over(whole) for c in wanted})
     df = df.withColumn("_chunk", chunk_of(order, size))
     here = Window.partitionBy(*keys, "_chunk").orderBy(order)
-    wanted = list(dict.fromkeys([order, *columns]))
     heads = df.groupBy(*keys, "_chunk").agg(*[F.min_by(c, order).alias(c) for c in wanted])
     onward = Window.partitionBy(*keys).orderBy("_chunk")
     heads = heads.select(*keys, "_chunk", F.lead(F.struct(*wanted)).over(onward).alias("_onward"))
@@ -52,8 +70,11 @@ def next_row(df, keys, order, columns, size=CHUNK, prefix="next_"):
 
 def last_known(df, keys, order, value, name, size=CHUNK, later=False):
     """Nearest non-missing ``value`` at or before each row (at or after it with ``later``)."""
-    df = df.withColumn("_chunk", chunk_of(order, size))
     way = F.desc if later else F.asc
+    if size is None:
+        whole = Window.partitionBy(*keys).orderBy(way(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.last(value, ignorenulls=True).over(whole))
+    df = df.withColumn("_chunk", chunk_of(order, size))
     here = Window.partitionBy(*keys, "_chunk").orderBy(way(order)).rowsBetween(Window.unboundedPreceding, 0)
     filled = F.when(F.col(value).isNotNull(), F.col(order))
     pick = F.min_by if later else F.max_by
@@ -67,6 +88,9 @@ def last_known(df, keys, order, value, name, size=CHUNK, later=False):
 
 def running_sum(df, keys, order, value, name, size=CHUNK):
     """Sum of ``value`` up to and including each row."""
+    if size is None:
+        whole = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.sum(value).over(whole))
     df = df.withColumn("_chunk", chunk_of(order, size))
     here = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -98,27 +122,30 @@ def number_rows(df, keys, order, name, label="numbered"):
     return joined.drop("_place", "_shift", "_part", *[f"_is_{k}" for k in [*keys, "_part"]])
 
 
-def exact_median(df, keys, columns, size=0.125):
+def exact_median(df, keys, columns, size=CHUNK, band=0.125):
     """Exact, interpolated median of each column per key, missing values skipped; one row per key.
 
     Readings are first counted per distinct value (combined map-side), then the two middle ranks are located by a prefix
-    sum over those counts, so neither an array nor a whole key's readings ever sits in one buffer.
+    sum over those counts, so neither an array nor a whole key's readings ever sits in one buffer. ``band`` is the chunk
+    width on the value axis, used when ``size`` asks for chunks.
     """
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("_what"), F.col(c).alias("_value")) for c in columns])).alias("_r"))
     long = long.select(*keys, "_r.*").where(F.col("_value").isNotNull())
     counted = long.groupBy(*keys, "_what", "_value").agg(F.count("*").alias("_n"))
-    ranked = running_sum(counted, [*keys, "_what"], "_value", "_n", "_upto", size)
-    totals = counted.groupBy(*keys, "_what").agg(F.sum("_n").alias("_all"))
-    ranked = ranked.join(totals, [*keys, "_what"])
-
-    low, high = F.expr("(_all - 1) div 2"), F.expr("_all div 2")
+    if size is None:
+        ranked = running_sum(counted, [*keys, "_what"], "_value", "_n", "_upto", None)
+        ranked = ranked.withColumn("_all", F.sum("_n").over(Window.partitionBy(*keys, "_what")))
+    else:
+        ranked = running_sum(counted, [*keys, "_what"], "_value", "_n", "_upto", band)
+        ranked = ranked.join(counted.groupBy(*keys, "_what").agg(F.sum("_n").alias("_all")), [*keys, "_what"])
 
     def held(rank):
         return (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
 
     def middle(c):
         mine = F.col("_what") == c
+        low, high = F.expr("(_all - 1) div 2"), F.expr("_all div 2")
         return ((F.max(F.when(mine & held(low), F.col("_value"))) +
                  F.max(F.when(mine & held(high), F.col("_value")))) / 2.0).alias(c)
 

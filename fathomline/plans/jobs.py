@@ -13,25 +13,25 @@ DERIVED = [
 ]
 
 
-def derived_rows(scans, cast="cast_id", latitude=schema.SITE_LATITUDE, saar=None):
+def derived_rows(scans, cast="cast_id", latitude=schema.SITE_LATITUDE, saar=None, size=sequence.CHUNK):
     """Cleaned rows with depth, absolute salinity, temperatures, density: everything that needs no second look."""
     schema.require(scans, [cast, *schema.REQUIRED_COLUMNS])
-    rows = clean.with_empty_cast_rows(clean.air_correct(scans, cast), cast)
+    rows = clean.with_empty_cast_rows(clean.air_correct(scans, cast, size=size), cast)
     rows = layers.with_depth(rows, cast, latitude)
     return seawater.with_properties(rows, saar=saar)
 
 
-def process_casts(scans, cast="cast_id", order="scan", latitude=schema.SITE_LATITUDE, saar=None, stage=True):
+def process_casts(scans, cast="cast_id", order="scan", latitude=schema.SITE_LATITUDE, saar=None, size=0):
     """Clean, derive, flag and quality-check whole casts.
 
-    The cleaned rows are read three times (cast marks, N2, result); with ``stage`` they are one table in the shared
-    folder, so the cleaning and the seawater chain run once.
+    The cleaned rows are read three times (cast marks, N2, result), so they are one table in the shared folder and the
+    cleaning and the seawater chain run once. ``size`` is the chunk size, measured when it is 0.
     """
-    rows = derived_rows(scans, cast, latitude, saar)
-    rows = save_stage(rows, "derived") if stage else rows
+    size = sequence.chunk_size(scans, [cast]) if size == 0 else size
+    rows = save_stage(derived_rows(scans, cast, latitude, saar, size), "derived")
     alive = rows.where("processed")
     marks = layers.cast_marks(alive, cast, order)
-    n2 = layers.n2_nearest(alive, layers.n2_pairs(alive, cast, order), cast, order)
+    n2 = layers.n2_nearest(alive, layers.n2_pairs(alive, cast, order, size), cast, order, size)
     out = rows.join(marks, cast, "left").join(n2, [cast, order], "left")
     out = layers.with_oxygen(out).withColumn(
         "is_downcast", F.coalesce(F.col(order) <= F.col("downcast_end"), F.lit(False)))

@@ -10,9 +10,19 @@ SETTINGS = {
     # Rows of one huge cast are joined to their one-row statistics; the skew rule splits that partition.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The seawater polynomials make one generated method longer than the JVM's compiler accepts (8000 bytes of bytecode),
+    # and it would then be interpreted. Past this limit Spark evaluates the projection through small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def tune(spark):
+    """Apply the settings to a session somebody else built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def get_session(master=None, **extra):
     """Build or reuse a session. Cluster settings (executors, shuffle partitions) stay with the caller."""
     builder = SparkSession.builder.appName("fathomline")
