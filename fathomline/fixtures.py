@@ -96,4 +96,4 @@ def raw_files(spark, sf_dir):
         F.format_string("raw/RBR/cast_%d_data.txt", "k"),
         F.format_string("raw/gf/ST%d.TXT", "k"),
         F.format_string("raw/doc/note_%d.pdf", "k"))
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.explode(names).alias("path"))
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")).select("k", F.explode(names).alias("path"))

@@ -278,7 +278,7 @@ def number_segments(edges, cast="cast_id", size=CHUNK):
 def segment_profiles(scans, parts, cast="cast_id", order="scan"):
     """Scans with their segment; a shared bound appears in both. Scans meet segments inside blocks of the scan axis."""
     block = F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"end div {BLOCK}")))
-    covered = parts.select(cast, "segment", "start", "end", block.alias("_block"))
+    covered = parts.withColumn("_block", block)
     rows = scans.withColumn("_block", F.expr(f"{order} div {BLOCK}"))
     return rows.join(covered, [cast, "_block"]).where(F.col(order).between(F.col("start"), F.col("end"))).drop("_block")
 

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from fathomline import schema
 from fathomline.functions import seawater
-from fathomline.operators import clean, layers, sequence
+from fathomline.functions.text import base_name
+from fathomline.operators import clean, layers, reports, segment, sequence, stations
+from fathomline.sources import files, instruments, tables
 from fathomline.storage import save_stage
 
 DERIVED = [
@@ -42,3 +44,92 @@ def process_casts(scans, cast="cast_id", order="scan", latitude=schema.SITE_LATI
     if "depth_m" not in scans.columns:
         out = out.withColumn("depth_m", F.when(F.col("processed"), F.col("depth_m")))
     return out.drop("_SA", "_CT", "downcast_end")
+
+
+def segment_profiles(scans, cast="cast_id", order="scan", size=0):
+    """Scans with segment number, range and profile name; a bound two segments share appears in both."""
+    size = sequence.chunk_size(scans, [cast]) if size == 0 else size
+    bounds = segment.segment_bounds(scans, cast, order, size=size)
+    parts = save_stage(segment.segments(scans, bounds, cast, order, size), "segments")
+    named = segment.profile_names(scans, parts, cast, order)
+    return segment.segment_profiles(scans, named, cast, order)
+
+
+def process_segments(scans, cast="cast_id", order="scan", size=0):
+    """Segment mode: split, then process every segment as a cast of its own (key ``profile_id``)."""
+    size = sequence.chunk_size(scans, [cast]) if size == 0 else size
+    parts = segment_profiles(scans, cast, order, size)
+    parts = parts.withColumn("profile_id", F.concat_ws("_", cast, (F.col("segment") + 1).cast("string")))
+    return process_casts(parts, "profile_id", order, size=size)
+
+
+def concat_daily(scans, cast="cast_id", order="scan", modified=None):
+    """All scans of one day and instrument as one cast: key ``group_id``, new ``scan`` in time order.
+
+    Rows without ``datetime`` follow in depth order. A day may hold most of the data, so the numbering is a range sort.
+    """
+    groups = reports.daily_groups(scans, cast, order, modified).select(cast, "cast_date")
+    rows = scans.join(groups, cast)
+    day = F.date_format("cast_date", "yyyy-MM-dd")
+    rows = rows.withColumn("group_id", F.concat_ws("_", day, "ctd_type", F.lit("concatenated")))
+    depth = F.col("depth_m") if "depth_m" in rows.columns else F.lit(None).cast("double")
+    rows = rows.withColumnRenamed(order, "source_scan").withColumn(
+        "_depth", F.when(F.col("datetime").isNull(), depth))
+    clock = [F.col("datetime").asc_nulls_last(), F.col("_depth").asc_nulls_last()]
+    return sequence.number_rows(rows, ["group_id"], [*clock, cast, "source_scan"], order, "daily").drop("_depth")
+
+
+def process_daily(scans, cast="cast_id", order="scan", modified=None, size=0):
+    """Concatenate mode: daily groups, each processed as one cast."""
+    return process_casts(concat_daily(scans, cast, order, modified), "group_id", order, size=size)
+
+
+def organise_stations(profiles, rows, entries, raw_files=None, profile="profile_name"):
+    """Matched profiles by station: dict of ``matches``, ``rows`` (with campaign and Station), the two leftovers, the
+    summary and, with ``raw_files``, the related raw files of matched entries."""
+    matches = stations.logbook_prefix(profiles, entries)
+    name = base_name(F.col("path")).alias(profile)
+    placed = matches.select(name, F.coalesce("campaign", F.lit("")).alias("campaign"), "Station").distinct()
+    out = {
+        "matches": matches,
+        "rows": rows.join(placed, profile),
+        "unmatched_profiles": stations.unmatched_profiles(profiles, matches),
+        "unmatched_entries": stations.unmatched_entries(entries, matches),
+        "summary": stations.match_summary(profiles, matches),
+    }
+    if raw_files is not None:
+        out["related"] = stations.related_files(matches, raw_files)
+    return out
+
+
+def ingest_tree(spark, root):
+    """Every cast file under a folder -> Level1 scans of all instruments, plus the table of rejected files.
+
+    The one driver step is listing which instruments occur (at most five names).
+    """
+    listing = files.classify(files.file_manifest(spark, root))
+    present = {r[0] for r in listing.select("ctd_type").distinct().collect() if r[0]}
+    log_files = files.find_named(listing, "activity_log_odv.csv")
+    tables_ = []
+    for kind in sorted(present):
+        # The glob keeps each reader to its own files; the join drops what the glob lets through.
+        mine = listing.where(F.col("ctd_type") == kind).select("path")
+        text = files.read_utf16_lines(spark, f"{root}") if kind == "exo" else files.tree_lines(spark, root)
+        lines = text.join(mine, "path", "left_semi")
+        if kind == "gf23":
+            logs = [r[0] for r in log_files.select("path").limit(1).collect()]
+            log = instruments.activity_log(spark.read.option("header", True).csv(logs[0])) if logs else None
+            tables_.append(instruments.ingest_gf23(lines, log))
+        else:
+            tables_.append(INGEST[kind](lines))
+    scans = tables.combine(tables_).withColumns({
+        "cast_id": F.col("path"), "source_file": base_name(F.col("path"))}) if tables_ else None
+    return scans, files.rejected(listing)
+
+
+INGEST = {
+    "idronaut": instruments.ingest_idronaut,
+    "seabird": instruments.ingest_seabird,
+    "exo": instruments.ingest_exo,
+    "rbr": instruments.ingest_rbr,
+}
