@@ -246,6 +246,16 @@ def practical_salinity(root, t90):
             + poly([0.0005, -0.0056, -0.0066, -0.0375, 0.0636, -0.0144], root))
 
 
+def solid(expression):
+    """NaN instead of NULL."""
+    return f"coalesce({expression}, double('NaN'))"
+
+
+def hollow(expression):
+    """NULL instead of NaN."""
+    return f"CASE WHEN NOT isnan({expression}) THEN {expression} END"
+
+
 def with_columns(df, **expressions):
     """Columns from SQL expressions, in one select."""
     return df.withColumns({name: F.expr(text) for name, text in expressions.items()})
@@ -263,24 +273,27 @@ def with_properties(df, pressure="pressure_dbar", temperature="temperature_C", p
     def bend(new, old):
         return "-" + curvature("_x2", "_x", f"(({new} + {old}) * 0.0125D)")
 
-    df = with_columns(df, _p=f"abs({pressure})", _SA=absolute_salinity(practical, saar), _t=f"{temperature} * 0.025D")
+    # Missing inputs run as NaN and become NULL again at the end: expressions that cannot be NULL need no null checks,
+    # which keeps the generated code a third of the size. A division may be NULL to Spark, so it is wrapped as well.
+    df = with_columns(df, _p=solid(f"abs({pressure})"), _SA=solid(absolute_salinity(practical, saar)),
+                      _ti=solid(temperature))
     df = with_columns(df, _x2=f"_SA * {number(SALINITY_SCALE)}", _x=f"sqrt(_SA * {number(SALINITY_SCALE)})",
-                      _z="_p * 1e-4D", _g0=potential_start("_SA", temperature, "_p"))
-    df = with_columns(df, _here=entropy_part("_x2", "_x", "_t", "_z"), _slope0=(
-        f"{number(HEAT_CAPACITY)} / ((273.15D + _g0) * (1D - 0.05D * (1D - _SA / {number(REFERENCE_SALINITY)})))"))
-    df = with_columns(df, _miss0=miss("_g0"))
-    df = with_columns(df, _half="_g0 - _miss0 / _slope0")
-    df = with_columns(df, _slope1=bend("_half", "_g0"))
-    df = with_columns(df, _g1="_g0 - _miss0 / _slope1")
+                      _g0=potential_start("_SA", "_ti", "_p"))
+    df = with_columns(df, _here=entropy_part("_x2", "_x", "(_ti * 0.025D)", "(_p * 1e-4D)"))
+    df = with_columns(df, _miss0=miss("_g0"), _slope0=(
+        f"((273.15D + _g0) * (1D - 0.05D * (1D - _SA * {number(1.0 / REFERENCE_SALINITY)})))"
+        f" * {number(1.0 / HEAT_CAPACITY)}"))
+    df = with_columns(df, _slope1=bend("(_g0 - _miss0 * _slope0)", "_g0"))
+    df = with_columns(df, _g1=solid("_g0 - _miss0 / _slope1"))
     df = with_columns(df, _miss1=miss("_g1"))
-    df = with_columns(df, _half="_g1 - _miss1 / _slope1")
-    df = with_columns(df, pot_temp_C=f"_g1 - _miss1 / ({bend('_half', '_g1')})")
-    df = with_columns(df, _pt="pot_temp_C * 0.025D", _xs=salinity_root("_SA"))
-    df = with_columns(df, _CT=conservative_temperature("_x2", "_x", "_pt"))
-    df = with_columns(df, _ys="_CT * 0.025D")
-    df = with_columns(df, density_kg_m3=f"1D / {volume('_xs', '_ys', '_z')}")
-    return df.drop("_p", "_t", "_x2", "_x", "_z", "_g0", "_here", "_slope0", "_miss0", "_half", "_slope1", "_g1",
-                   "_miss1", "_pt", "_xs", "_ys")
+    df = with_columns(df, _half=solid("_g1 - _miss1 / _slope1"))
+    df = with_columns(df, _g2=solid(f"_g1 - _miss1 / ({bend('_half', '_g1')})"))
+    df = with_columns(df, _cons=solid(conservative_temperature("_x2", "_x", "(_g2 * 0.025D)")), _xs=salinity_root("_SA"))
+    df = with_columns(df, _rho=f"1D / {volume('_xs', '(_cons * 0.025D)', '(_p * 1e-4D)')}")
+    results = {"_SA": "_SA", "pot_temp_C": "_g2", "_CT": "_cons", "density_kg_m3": "_rho"}
+    df = with_columns(df, **{name: hollow(c) for name, c in results.items()})
+    return df.drop("_p", "_ti", "_x2", "_x", "_g0", "_here", "_miss0", "_slope0", "_slope1", "_g1", "_miss1", "_half",
+                   "_g2", "_cons", "_xs", "_rho")
 
 
 def with_buoyancy(pairs, sa="_SA", ct="_CT", p="_p", after="next_"):
@@ -288,12 +301,16 @@ def with_buoyancy(pairs, sa="_SA", ct="_CT", p="_p", after="next_"):
     def mean(c):
         return f"({c} + {after}{c}) * 0.5D"
 
-    pairs = with_columns(pairs, _xs=salinity_root(f"({mean(sa)})"), _ys=f"{mean(ct)} * 0.025D", _zs=f"{mean(p)} * 1e-4D")
+    pairs = with_columns(
+        pairs, _xs=solid(salinity_root(f"({mean(sa)})")), _ys=solid(f"{mean(ct)} * 0.025D"),
+        _zs=solid(f"{mean(p)} * 1e-4D"), _ds=solid(f"{after}{sa} - {sa}"), _dt=solid(f"{after}{ct} - {ct}"),
+        _dp=solid(f"{after}{p} - {p}"))
     pairs = with_columns(pairs, _v=volume("_xs", "_ys", "_zs"), _vx=volume("_xs", "_ys", "_zs", "x"),
                          _vy=volume("_xs", "_ys", "_zs", "y"))
-    beta = f"(-0.5D * {number(SALINITY_SCALE)} * _vx / _xs / _v)"
+    # Both coefficients carry 1/v and the density another: one division for all.
     pairs = with_columns(pairs, N2=(
-        f"try_divide({number(GRAVITY * GRAVITY)} * ({beta} * ({after}{sa} - {sa}) - 0.025D * _vy / _v *"
-        f" ({after}{ct} - {ct})), _v * 1e4D * ({after}{p} - {p}))"))
+        f"try_divide({number(-GRAVITY * GRAVITY)} * ({number(0.5 * SALINITY_SCALE)} * _vx * _ds / _xs"
+        " + 0.025D * _vy * _dt), _v * _v * 1e4D * _dp)"))
     finite = ~F.isnan("N2") & (F.abs("N2") < float("inf"))
-    return pairs.withColumn("N2", F.when(finite, F.col("N2"))).drop("_xs", "_ys", "_zs", "_v", "_vx", "_vy")
+    return pairs.withColumn("N2", F.when(finite, F.col("N2"))).drop(
+        "_xs", "_ys", "_zs", "_ds", "_dt", "_dp", "_v", "_vx", "_vy")

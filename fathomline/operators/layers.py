@@ -31,12 +31,15 @@ def with_depth(rows, cast="cast_id", latitude=schema.SITE_LATITUDE):
 
 def with_oxygen(rows):
     """Solubility (from potential temperature) and the two concentrations (from in-situ temperature)."""
-    rows = seawater.with_columns(rows, _y=seawater.oxygen_log("pot_temp_C"))
+    solid = seawater.solid
+    rows = seawater.with_columns(rows, _y=solid(seawater.oxygen_log("pot_temp_C")), _t=solid(TEMP), _s=solid(SAL),
+                                 _o=solid(OXY))
     rows = seawater.with_columns(
-        rows, o2_solubility_mll=f"{seawater.oxygen_solubility(SAL, '_y')} * {seawater.ML_PER_UMOL}D",
-        o2_mgkg=seawater.oxygen_mgkg(TEMP, SAL, OXY), o2_mgl=seawater.oxygen_mgl(TEMP, SAL, OXY))
-    return seawater.with_columns(
-        rows, o2_solubility_mgl=f"o2_solubility_mll * {seawater.MG_PER_ML}D").drop("_y")
+        rows, _mll=f"{seawater.oxygen_solubility('_s', '_y')} * {seawater.ML_PER_UMOL}D",
+        _mgkg=seawater.oxygen_mgkg("_t", "_s", "_o"), _mgl=seawater.oxygen_mgl("_t", "_s", "_o"))
+    return seawater.with_columns(rows, **{name: seawater.hollow(value) for name, value in {
+        "o2_solubility_mll": "_mll", "o2_solubility_mgl": f"_mll * {seawater.MG_PER_ML}D", "o2_mgkg": "_mgkg",
+        "o2_mgl": "_mgl"}.items()}).drop("_y", "_t", "_s", "_o", "_mll", "_mgkg", "_mgl")
 
 
 def with_vendor_salinity(rows, divisor=VENDOR_CONDUCTIVITY, active=None):
