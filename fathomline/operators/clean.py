@@ -1,9 +1,11 @@
 """Removal of in-air scans, offsets taken from them, and the quality flags.
 
-Statistics of a cast are plain aggregates (combined map-side) joined back to its rows, never a window over the cast:
-however long one cast is, its rows stay spread over the tasks that read them.
+Statistics of a cast are plain aggregates (combined map-side) joined back to its rows, not a window over the cast:
+however long one cast is, its rows stay spread over the tasks that read them. Only where every cast was measured to fit a
+task (``size`` None) are they windows, which costs one shuffle for everything.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathomline import schema
@@ -49,8 +51,11 @@ def air_correct(scans, cast="cast_id", limit=None, offsets=None, size=CHUNK):
 
     ``_keep`` says whether a row survives; ``apply_keep`` turns it into the filter.
     """
-    offsets = air_offsets(scans, cast, limit, size) if offsets is None else offsets
-    rows = scans.join(offsets.select(cast, "n_air", "pressure_offset", "oxygen_offset", "PAR_avg_air"), cast, "left")
+    if size is None and offsets is None:
+        rows = _with_offsets_in_place(scans, cast, limit)
+    else:
+        offsets = air_offsets(scans, cast, limit, size) if offsets is None else offsets
+        rows = scans.join(offsets.select(cast, "n_air", "pressure_offset", "oxygen_offset", "PAR_avg_air"), cast, "left")
     has_air = F.col("n_air").isNotNull()
     corrected = F.col(PRES) - F.col("pressure_offset")
     in_water = (F.col(COND) > threshold(limit=limit)) & (corrected > 0)
@@ -64,16 +69,37 @@ def air_correct(scans, cast="cast_id", limit=None, offsets=None, size=CHUNK):
     })
 
 
+def _with_offsets_in_place(scans, cast, limit):
+    """The offsets as window values: one shuffle by cast, for casts measured to fit a task (``chunk_size`` None)."""
+    schema.require(scans, [cast, "ctd_type", COND, PRES, OXY])
+    whole = Window.partitionBy(cast)
+    air = F.col(COND) < threshold(limit=limit)
+    par = F.avg(F.when(air, F.col(PAR))).over(whole) if PAR in scans.columns else F.lit(None).cast("double")
+    rows = scans.withColumns({
+        "n_air": F.count_if(air).over(whole),
+        "pressure_offset": F.median(F.when(air, F.col(PRES))).over(whole),
+        "_oxygen": F.median(F.when(air, F.col(OXY))).over(whole) - 100.0,
+        "PAR_avg_air": par,
+    })
+    return rows.withColumns({
+        "n_air": F.when(F.col("n_air") > 0, F.col("n_air")),
+        "oxygen_offset": F.when(F.abs("_oxygen") > MAX_OXYGEN_OFFSET, 0.0).otherwise(F.col("_oxygen")),
+    }).drop("_oxygen")
+
+
 def apply_keep(rows):
     """Only the surviving rows, helper columns gone."""
     return rows.where("_keep").drop("_keep", "_pressure_raw", "_oxygen_raw", "n_air", "pressure_offset",
                                     "oxygen_offset")
 
 
-def with_empty_cast_rows(rows, cast="cast_id"):
+def with_empty_cast_rows(rows, cast="cast_id", size=CHUNK):
     """Surviving rows plus, for casts with none left, the raw rows again (``processed`` is false there)."""
-    kept = rows.groupBy(cast).agg(F.count_if("_keep").alias("_n_keep"))
-    rows = rows.join(kept, cast).where(F.col("_keep") | (F.col("_n_keep") == 0))
+    if size is None:
+        rows = rows.withColumn("_n_keep", F.count_if("_keep").over(Window.partitionBy(cast)))
+    else:
+        rows = rows.join(rows.groupBy(cast).agg(F.count_if("_keep").alias("_n_keep")), cast)
+    rows = rows.where(F.col("_keep") | (F.col("_n_keep") == 0))
     alive = F.col("_n_keep") > 0
     return rows.withColumns({
         "processed": alive,

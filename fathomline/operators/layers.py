@@ -123,12 +123,13 @@ def n2_nearest(rows, pairs, cast="cast_id", order="scan", size=sequence.CHUNK):
     reduced to distinct pressures (the sensor's resolution bounds them), then each mid-point takes the nearest point
     above and below inside its pressure band or, across bands, from the band summary.
     """
-    points = rows.groupBy(cast, F.abs(PRES).alias("_at")).agg(F.min(order).alias("_scan")).where("_at IS NOT NULL")
-    mids = pairs.groupBy(cast, F.col("p_mid").alias("_at")).agg(
-        F.max("mid_no").alias("_mid_no"), F.max_by("N2", "mid_no").alias("_n2")).where("_at IS NOT NULL")
+    points = rows.select(cast, F.abs(PRES).alias("_at"), F.col(order).alias("_scan"))
+    mids = pairs.select(cast, F.col("p_mid").alias("_at"), F.col("mid_no").alias("_mid_no"), F.col("N2").alias("_n2"))
     # Points and mid-points at the same pressure share a row, so the order within a cast is strict.
-    axis = points.join(mids, [cast, "_at"], "full").withColumn(
-        "_point", F.when(F.col("_scan").isNotNull(), F.struct(F.col("_at").alias("p"), F.col("_scan").alias("s"))))
+    axis = points.unionByName(mids, allowMissingColumns=True).where("_at IS NOT NULL").groupBy(cast, "_at").agg(
+        F.min("_scan").alias("_scan"), F.max("_mid_no").alias("_mid_no"), F.max_by("_n2", "_mid_no").alias("_n2"))
+    axis = axis.withColumn("_point", F.when(F.col("_scan").isNotNull(), F.struct(
+        F.col("_at").alias("p"), F.col("_scan").alias("s"))))
     if size is not None:
         axis = save_stage(axis, "axis")
     band = None if size is None else BAND

@@ -471,7 +471,8 @@ def _(spark, sf_dir):
 
 @query("empty_cast_passthrough", o.q(CLEAN, f"SELECT cast_id, scan, processed, {o.rounded('pressure_dbar oxygen_saturation_percent')}, round(PAR_avg_air, 8) AS PAR_avg_air FROM base"))
 def _(spark, sf_dir):
-    rows = clean.with_empty_cast_rows(clean.air_correct(level1(spark, sf_dir), size=size_of(spark, sf_dir)))
+    size = size_of(spark, sf_dir)
+    rows = clean.with_empty_cast_rows(clean.air_correct(level1(spark, sf_dir), size=size), size=size)
     return rounded(rows.select("cast_id", "scan", "processed", "pressure_dbar", "oxygen_saturation_percent",
                                "PAR_avg_air"))
 

@@ -18,7 +18,7 @@ DERIVED = [
 def derived_rows(scans, cast="cast_id", latitude=schema.SITE_LATITUDE, saar=None, size=sequence.CHUNK):
     """Cleaned rows with depth, absolute salinity, temperatures, density: everything that needs no second look."""
     schema.require(scans, [cast, *schema.REQUIRED_COLUMNS])
-    rows = clean.with_empty_cast_rows(clean.air_correct(scans, cast, size=size), cast)
+    rows = clean.with_empty_cast_rows(clean.air_correct(scans, cast, size=size), cast, size)
     rows = layers.with_depth(rows, cast, latitude)
     return seawater.with_properties(rows, saar=saar)
 

@@ -85,7 +85,7 @@ def numbered_lines(text):
 
 def lines_of(files, encoding="UTF-8"):
     """``(path, line_no, line)`` from ``(path, content)`` with binary content; for encodings Spark cannot split."""
-    text = F.regexp_replace(F.decode("content", F.lit(encoding)), "[\r﻿]", "")
+    text = F.regexp_replace(F.decode("content", encoding), "[\r﻿]", "")
     return files.select("path", F.posexplode(F.split(text, "\n")).alias("line_no", "line")).select(
         "path", F.col("line_no").cast("bigint").alias("line_no"), "line")
 

@@ -69,7 +69,7 @@ def write_layout(layout, path, profile="cast_id", direction=None, sort="PrdE"):
     named = layout.withColumn("file", F.concat(F.col(profile), tag)).drop(profile, *([direction] if direction else []))
     order = ["file", *([sort] if sort else [])]
     named.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("file").option(
-        "sep", "\t").option("header", True).option("fileExtension", "asc").csv(path)
+        "sep", "\t").option("header", True).option("extension", "asc").csv(path)
     return path
 
 
