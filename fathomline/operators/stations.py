@@ -48,8 +48,9 @@ def unmatched_entries(entries, matches, order="entry_no"):
 
 def match_summary(profiles, matches):
     """One row: profiles matched (each counted once) and profiles in all."""
-    used = matches.agg(F.count_distinct("path").alias("matched_profiles"))
-    return used.crossJoin(profiles.agg(F.count("*").alias("total_profiles")))
+    used = matches.select("path", F.lit(1).alias("_used")).distinct()
+    return profiles.join(used, "path", "left").agg(
+        F.count("_used").alias("matched_profiles"), F.count("*").alias("total_profiles"))
 
 
 def related_files(entries, files, order="entry_no",
@@ -64,14 +65,15 @@ def related_files(entries, files, order="entry_no",
     wanted = entries.select(order, F.explode(F.array(*[
         F.struct(F.lit(c).alias("kind"), F.col(c).alias("text")) for c in columns])).alias("k")).select(
         order, "k.*").where("text IS NOT NULL AND text <> ''")
-    # One row holding the distinct lengths: at most as many as a file name has letters.
-    lengths = wanted.agg(F.collect_set(F.length("text")).alias("_lengths"))
+    # The distinct lengths of the wanted texts: a handful of numbers, never more than a name has letters.
+    lengths = sorted(r[0] for r in wanted.select(F.length("text")).distinct().collect())
     named = files.select("path", base_name(F.col("path")).alias("name"),
                          walk_order(directory(F.col("path"))).alias("folder"))
     name = F.col("name")
-    parts = F.flatten(F.transform(F.filter("_lengths", lambda n: n <= F.length(name)), lambda n: F.transform(
+    asked = F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")
+    parts = F.flatten(F.transform(F.filter(asked, lambda n: n <= F.length(name)), lambda n: F.transform(
         F.sequence(F.lit(1), F.length(name) - n + 1), lambda at: F.substring(name, at, n))))
-    texts = named.join(F.broadcast(lengths)).select("path", "folder", "name", F.explode(F.array_distinct(F.concat(
+    texts = named.select("path", "folder", "name", F.explode(F.array_distinct(F.concat(
         F.transform(parts, lambda p: F.struct(F.lit("part").alias("way"), p.alias("text"))),
         F.array(F.struct(F.lit("case").alias("way"), F.lower(name).alias("text")))))).alias("k")).select(
         "path", "folder", "name", "k.*")
