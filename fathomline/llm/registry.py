@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
-from fathomline.llm import simhash
+from fathomline.llm import packing, simhash, tokens, toxicity
 from fathomline.llm.common import table
 
+#: The tokenizer file of the queries; its folder is looked up when a query runs.
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
 
 def op6_simhash(spark, sf_dir):
-    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
+def op8_token_counts(spark, sf_dir):
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024)
 
 
-QUERIES = {"op6_simhash": op6_simhash}
+QUERIES = {q.__name__: q for q in (op2_toxicity, op6_simhash, op7_packing, op8_token_counts)}
 SQL: dict[str, str] = {}
