@@ -5,7 +5,11 @@ first letters and its last letters; transitions are weights between neighbouring
 state 0. Training maximises the conditional likelihood of labelled words by gradients from forward-backward marginals.
 
 Labels of words come from labels of texts: a word is labelled toxic where it stands in a toxic text and one of its
-features stands in (nearly) no clean one. Texts that stay without such a word carry no label and are left out.
+features is far more frequent in toxic texts than in clean ones. In clean texts every word is labelled clean. Toxic texts
+without such a word carry no label and are left out.
+
+A text's score is a logistic function of its marginals (expected toxic words, their density, the likeliest one), since a
+word of a toxic stem may stand alone in a clean text. It is fitted on the same sample.
 
 Scoring runs forward-backward over whole texts in blocks: the chain is linear in its potentials, so a block of words is a
 2 x 2 matrix, the blocks' matrices give what enters each block, and all blocks then advance side by side.
@@ -32,7 +36,7 @@ BLOCK = 64
 PER_CLASS, LONGEST = 1500, 20_000
 #: A feature marks a word toxic if it stands in at least so many toxic texts of the sample, in this share of them, and is so
 #: rarely in clean ones.
-LEAST_TEXTS, LEAST_SHARE, PURITY = 3, 0.03, 0.98
+LEAST_TEXTS, LEAST_SHARE, PURITY = 5, 0.03, 0.8
 #: Words of which a task remembers the emission.
 REMEMBERED = 300_000
 WORDS = re.compile(r"\w+")
@@ -159,11 +163,39 @@ def fit(sample, rounds: int = 60, rate: float = 0.3, shrink: float = 1e-4):
     return weights.astype(np.float32), trans, float(bias)
 
 
+def summary(p: np.ndarray) -> tuple[float, float, float]:
+    """What the score of a text reads from the marginals of its words."""
+    total = float(p[p >= 0.02].sum())
+    return np.log1p(total), np.log1p(1000 * total / max(1, len(p))), float(p.max()) if len(p) else 0.0
+
+
+def calibrate(rows: np.ndarray, truth: np.ndarray, rounds: int = 25, shrink: float = 1e-2) -> np.ndarray:
+    """Logistic regression by Newton steps; the last coefficient is the intercept."""
+    x = np.column_stack([rows, np.ones(len(rows))])
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + shrink * np.eye(len(w))
+        w += np.linalg.solve(hessian, x.T @ (truth - p) - shrink * w)
+    return w
+
+
+def learn(sample):
+    """The whole model: field and calibration. A sample without one of the classes scores everything 0."""
+    model = (*fit(sample), None)
+    if len({y for _, y in sample}) < 2:
+        return model
+    tagger, rows = Tagger(model), []
+    for i in range(0, len(sample), 200):
+        rows += [summary(p) for p in tagger.marginals([t for t, _ in sample[i:i + 200]])]
+    return (*model[:3], calibrate(np.array(rows), np.array([y for _, y in sample], np.float64)))
+
+
 class Tagger:
     """A trained field and the emissions of the words met so far."""
 
     def __init__(self, model):
-        self.weights, self.trans, self.bias = model
+        self.weights, self.trans, self.bias, self.calibration = model
         self.known: dict[str, float] = {}
 
     def emissions(self, words: list[str]) -> list[float]:
@@ -180,23 +212,22 @@ class Tagger:
                     out[i] = found
         return out
 
-    def score(self, texts: list[str]):
-        """Score of every text and ``[(start, end)]`` of its toxic words, by offset in the text.
-
-        The score is the chance that one of the three likeliest toxic words is one: few strong words count, and long
-        texts do not collect doubts.
-        """
+    def marginals(self, texts: list[str]) -> list[np.ndarray]:
+        """Probability of every word of every text to be toxic."""
         emit, bounds = [-np.inf], [0]
         for t in texts:
             emit += self.emissions(WORDS.findall(t.lower()))
             emit.append(-np.inf)
             bounds.append(len(emit) - 1)
         p = marginals(np.array(emit), self.trans)[0]
+        return [p[a + 1:b] for a, b in zip(bounds, bounds[1:])]
+
+    def score(self, texts: list[str]):
+        """Score of every text and ``[(start, end)]`` of its toxic words, by offset in the text."""
         scores, spans = [], []
-        for i, t in enumerate(texts):
-            own = p[bounds[i] + 1:bounds[i + 1]]
-            top = np.partition(own, -3)[-3:] if len(own) > 3 else own
-            scores.append(float(1 - np.prod(1 - top)))
+        for t, own in zip(texts, self.marginals(texts)):
+            scores.append(0.0 if self.calibration is None or not len(own) else
+                          float(1 / (1 + np.exp(-np.clip(np.dot(self.calibration, (*summary(own), 1.0)), -30, 30)))))
             hot = np.flatnonzero(own >= 0.5)
             spans.append([])
             if len(hot):
@@ -209,7 +240,7 @@ class Tagger:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text"):
     """A model from a bounded sample of labelled rows that are not held out. Without toxic rows every score is near 0."""
-    return fit(labelled_sample(docs, labels, "toxic", PER_CLASS, LONGEST, text))
+    return learn(labelled_sample(docs, labels, "toxic", PER_CLASS, LONGEST, text))
 
 
 def tagged(docs: DataFrame, model, keep: list[str], text: str = "text") -> DataFrame:
