@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from fathomline.llm import packing, simhash, tokens, toxicity
+from fathomline.llm import decontaminate, mixing, packing, simhash, tokens, toxicity
 from fathomline.llm.common import table
 
 #: The tokenizer file of the queries; its folder is looked up when a query runs.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+#: Epochs that no source of a mixture may exceed, against the least repeated one.
+MAX_REPEAT = 1.5
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -16,6 +18,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least=0.8)
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
@@ -32,5 +38,9 @@ def op8_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024)
 
 
-QUERIES = {q.__name__: q for q in (op2_toxicity, op6_simhash, op7_packing, op8_token_counts)}
-SQL: dict[str, str] = {}
+def op9_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"), max_repeat=MAX_REPEAT)
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op6_simhash, op7_packing, op8_token_counts, op9_mixing)}
+SQL = {"op1_decontaminate": decontaminate.OP1_SQL}
