@@ -191,7 +191,7 @@ def verified(candidates: DataFrame, files: DataFrame) -> DataFrame:
     entry = entered.select(F.col("file").alias("of"), F.col("start").alias("entry"))
     marked = candidates.join(entry, (candidates["file"] == entry["of"]) & (candidates["start"] == entry["entry"]), "left")
 
-    def follow(key, batch: pa.Table) -> pa.Table:
+    def follow(batch: pa.Table) -> pa.Table:
         start, successor = batch.column("start").to_numpy(), batch.column("successor").to_numpy()
         place = {s: i for i, s in enumerate(start.tolist())}
         keep, todo = np.zeros(len(start), bool), np.flatnonzero(~np.isnan(batch.column("entry").to_numpy(zero_copy_only=False).astype(float))).tolist()
@@ -227,6 +227,3 @@ def archive(pages: DataFrame, least: int = 0) -> DataFrame:
     kind = dict(pages.dtypes)["page_id"]
     return read_archives(folder, files).select(F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind))
 
-
-#: DuckDB has no base 32, so the digest's five-bit groups are spelled out from its hex digits.
-OP4_SQL = None
