@@ -9,6 +9,7 @@ access copies nothing. A second Arrow file beside it lists the shard's documents
 from __future__ import annotations
 
 import itertools
+import re
 import uuid
 import zlib
 
@@ -18,10 +19,47 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.common import fresh_path, pieces, staged
-from fathomline.llm.tokens import PrefixBpe
 
 #: Ids in a sequence, and sequences in a batch of a file.
 SEQUENCE, BATCH = 2048, 256
+#: Runs that a task remembers, and texts that the library is asked for at once.
+REMEMBERED, ASKED = 100_000, 5_000
+
+
+class RunEncoder:
+    """Ids of whole texts by the tokenizers library.
+
+    The library is asked once per slice of texts for each distinct run: a byte-level tokenizer always starts a piece at a
+    lone space between other characters, so the ids of a text are those of its runs. Texts with white space beside a
+    space, or with a special token's string, go to the library whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([r"\s ", *special])).search
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def ask(self, texts: list[str]):
+        for i in range(0, len(texts), ASKED):
+            for e in self.library.encode_batch_fast(texts[i:i + ASKED], add_special_tokens=False):
+                yield e.ids
+
+    def encode(self, texts: list[str], end_id: int, width) -> list[np.ndarray]:
+        """Ids of every text, with the end id."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known, whole = self.known, [bool(self.whole(t)) for t in texts]
+        cut = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
+        new = list({r for runs in cut for r in runs[1:] if r not in known})
+        known.update((r, tuple(ids)) for r, ids in zip(new, self.ask([" " + r for r in new])))
+        heads = self.ask([t if w else runs[0] for t, w, runs in zip(texts, whole, cut)])
+        out, chain = [], itertools.chain.from_iterable
+        for head, runs in zip(heads, cut):
+            out.append(np.fromiter(itertools.chain(head, chain(map(known.__getitem__, runs[1:])), (end_id,)), width))
+        return out
 
 
 class ShardWriter:
@@ -126,14 +164,10 @@ def write_packed(docs: DataFrame, tokenizer: str, end_id: int, sequence: int = S
         for batch in batches:
             for piece in pieces(batch, "t"):
                 if out is None:
-                    bpe = PrefixBpe(tokenizer, by_library=True)
-                    width = np.uint16 if max(end_id, *bpe.ids.values()) < 65536 else np.uint32
+                    coder = RunEncoder(tokenizer)
+                    width = np.uint16 if max(end_id, coder.library.get_vocab_size() - 1) < 65536 else np.uint32
                     out = ShardWriter(folder, shard, width, sequence, id_type)
-                encoded = []
-                for t in piece.column("t").to_pylist():
-                    runs = bpe.encode(t)
-                    encoded.append(np.fromiter(itertools.chain(itertools.chain.from_iterable(runs), (end_id,)), width, sum(map(len, runs)) + 1))
-                out.add(piece.column("doc_id"), encoded)
+                out.add(piece.column("doc_id"), coder.encode(piece.column("t").to_pylist(), end_id, width))
         if out is not None:
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64())} | {k: pa.array([v], pa.int64()) for k, v in out.close().items()})
 

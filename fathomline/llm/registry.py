@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fathomline.llm import decontaminate, mixing, packing, simhash, tokens, toxicity
+from fathomline.llm import decontaminate, mixing, packing, simhash, tokens, toxicity, warc
 from fathomline.llm.common import table
 
 #: The tokenizer file of the queries; its folder is looked up when a query runs.
@@ -26,6 +26,10 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op4_warc(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages"), least=0)
+
+
 def op6_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -42,5 +46,5 @@ def op9_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"), max_repeat=MAX_REPEAT)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op6_simhash, op7_packing, op8_token_counts, op9_mixing)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op4_warc, op6_simhash, op7_packing, op8_token_counts, op9_mixing)}
 SQL = {"op1_decontaminate": decontaminate.OP1_SQL}

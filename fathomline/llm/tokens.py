@@ -21,8 +21,8 @@ from fathomline.llm.common import map_texts
 
 #: Fixed value: the pre-tokenizer's pattern, with the library's classes written for Python's re.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-#: Pieces of which a task remembers the encoding; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Pieces, runs and pairs of which a task remembers the count; beyond it the memory starts anew.
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -35,14 +35,10 @@ def byte_letters() -> dict[str, int]:
 class PrefixBpe:
     """Vocabulary of a byte-level BPE file of the tokenizers library, and the prefix tables of pieces and texts."""
 
-    def __init__(self, path: str, by_library: bool = False):
-        import tokenizers
-
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letter = byte_letters()
-        self.ids = {bytes(letter[c] for c in t): i for t, i in spec["model"]["vocab"].items() if all(c in letter for c in t)}
-        self.longest = max(map(len, self.ids))
         # Tokens in the order in which merging makes them: bytes first. halves: what each was merged from (a byte: itself).
         order = {bytes([b]): b for b in range(256)}
         self.halves, self.joined = [(b, b) for b in range(256)], {}
@@ -50,16 +46,14 @@ class PrefixBpe:
             one, two = (bytes(letter[c] for c in x) for x in (m.split(" ") if isinstance(m, str) else m))
             self.joined[order[one] << 32 | order[two]] = order[one + two] = len(self.halves)
             self.halves.append((order[one], order[two]))
-        self.order, self.size = order, list(map(len, order))
-        self.file_id = [self.ids[t] for t in order]
+        self.order, self.longest = order, max(map(len, order))
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.library = tokenizers.Tokenizer.from_file(path)
+        self.path, self.library = path, None
         self.find = re.compile(PIECES).findall
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.runs: dict[str, tuple[int, ...]] = {}
-        self.by_library = by_library
+        self.known: dict[str, int] = {}
+        self.runs: dict[str, int] = {}
 
     def may_follow(self, one: int, two: int) -> bool:
         """Whether the two tokens side by side are the encoding of their bytes.
@@ -101,16 +95,6 @@ class PrefixBpe:
                     break
         return count, last
 
-    def piece_ids(self, piece: str) -> tuple[int, ...]:
-        """Token ids of one piece, read backwards from its prefix table."""
-        word = piece.encode("utf-8", "replace")
-        _, last = self.piece_table(word)
-        out, k = [], len(word)
-        while k:
-            out.append(self.file_id[last[k]])
-            k -= self.size[last[k]]
-        return tuple(reversed(out))
-
     def pieces(self, text: str) -> list[str]:
         """The pieces of a whole text; strings of special tokens are pieces of their own, as the library's default has it.
 
@@ -124,59 +108,58 @@ class PrefixBpe:
         return self.find(text)
 
     def library_pieces(self, text: str) -> list[str]:
+        if self.library is None:
+            import tokenizers
+
+            self.library = tokenizers.Tokenizer.from_file(self.path)
         parts = self.cut_special.split(text) if self.cut_special else [text]
         cut, out = self.library.pre_tokenizer.pre_tokenize_str, []
         for part in parts:
             out += [part] if part in self.special else [part[a:b] for _, (a, b) in cut(part)] if part else []
         return out
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encode pieces that are not remembered yet: by their prefix tables, or by the library where that is asked for."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(dict.fromkeys(pieces))
-        if self.by_library:
-            self.known.update(zip(new, (tuple(e.ids) for e in self.library.encode_batch_fast(new, add_special_tokens=False))))
-        else:
-            self.known.update((p, (self.special[p],) if p in self.special else self.piece_ids(p)) for p in new)
-
-    def of_pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        """Ids of every piece."""
-        out = list(map(self.known.get, pieces))
+    def of_pieces(self, pieces: list[str]) -> list[int]:
+        """Tokens of every piece, from its prefix table."""
+        known = self.known
+        out = list(map(known.get, pieces))
         if None in out:
-            self.learn(pieces)
-            out = list(map(self.known.get, pieces))
+            for i, found in enumerate(out):
+                if found is None:
+                    piece = pieces[i]
+                    if (found := known.get(piece)) is None:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        found = known[piece] = 1 if piece in self.special else self.piece_table(piece.encode("utf-8", "replace"))[0][-1]
+                    out[i] = found
         return out
 
-    def encode(self, text: str) -> list[tuple[int, ...]]:
-        """Ids of a whole text, run by run.
+    def count(self, text: str) -> int:
+        """Tokens of a whole text, run by run.
 
         A lone space between other characters always starts a piece, so a text is cut there first and runs are remembered
         as well. Where white space follows white space, or a special string may stand, the pieces are taken one by one.
         """
         if WIDE(text) or self.cut_special and self.cut_special.search(text) or not text.isascii() and ODD(text):
-            return self.of_pieces(self.pieces(text))
+            return sum(self.of_pieces(self.pieces(text)))
         first, *rest = text.split(" ")
-        runs = [first, *map(" ".__add__, rest)]
-        out = list(map(self.runs.get, runs))
+        runs = self.runs
+        out = list(map(runs.get, rest))
         if None in out:
-            new = list(dict.fromkeys(r for r, found in zip(runs, out) if found is None))
-            cut = [self.find(r) for r in new]
-            self.learn([p for pieces in cut for p in pieces])
-            if len(self.runs) + len(new) > REMEMBERED:
-                self.runs.clear()
-            known = self.known
-            made = {r: known[c[0]] if len(c) == 1 else tuple(i for p in c for i in known[p]) for r, c in zip(new, cut)}
-            self.runs.update(made)
-            out = [made[r] if found is None else found for r, found in zip(runs, out)]
-        return out
+            for i, found in enumerate(out):
+                if found is None:
+                    run = rest[i]
+                    if (found := runs.get(run)) is None:
+                        if len(runs) >= REMEMBERED:
+                            runs.clear()
+                        found = runs[run] = sum(self.of_pieces(self.find(" " + run)))
+                    out[i] = found
+        return sum(self.of_pieces(self.find(first))) + sum(out)
 
     def text_table(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """End (code points) of every piece, and tokens up to there."""
         pieces = self.pieces(text)
         ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        return ends, np.cumsum(np.fromiter(map(len, self.of_pieces(pieces)), np.int64, len(pieces)))
+        return ends, np.cumsum(np.array(self.of_pieces(pieces), np.int64))
 
     def count_at(self, text: str, ends, totals, chars: int) -> int:
         """Exact tokens of ``text[:chars]``, from the tables alone: only the piece that the cut goes through is looked at."""
@@ -210,7 +193,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, text: str =
     """
     def work(texts, bpe):
         return {"n_bytes": pa.array([len(t.encode("utf-8", "replace")) for t in texts], pa.int64()),
-                "n_tokens": pa.array([sum(map(len, bpe.encode(t))) for t in texts], pa.int64())}
+                "n_tokens": pa.array([bpe.count(t) for t in texts], pa.int64())}
 
     counted = map_texts(docs, ["doc_id"], text, work, "n_bytes long, n_tokens long", lambda: PrefixBpe(tokenizer))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
