@@ -84,15 +84,17 @@ def map_texts(docs: DataFrame, keep: list[str], text: str, work, schema: str, st
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, longest: int, text: str = "text"):
     """A bounded sample of labelled texts on the driver: ``[(text, 0 or 1)]``.
 
-    At most ``per_class`` texts of each class with at most ``longest`` characters, of rows that are not held out. Which
-    ones is a matter of a hash of the id, so the sample is the same in every run and for every order of the input.
+    The ids of at most ``per_class`` labelled rows of each class that are not held out, by a hash of the id, so the sample is
+    the same in every run; then those of their texts with at most ``longest`` characters. The ids are few by construction
+    and are broadcast, so no text moves but the sample's.
     """
     marked = (labels.where(F.col(label).isin(0, 1) & ~held_out() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
-    known = (docs.where(F.length(text).between(1, longest)).select("doc_id", F.col(text).alias("t"))
-             .join(marked, "doc_id"))
-    rows = []
-    for y in (0, 1):
-        rows += (known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id", "t")
-                 .limit(per_class).select("t", "y").collect())
+    chosen = [r for y in (0, 1) for r in marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
+    if not chosen:
+        return []
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["y"]) for r in chosen], marked.schema)
+    known = docs.select("doc_id", F.col(text).alias("t")).where(F.length("t").between(1, longest)).join(F.broadcast(ids), "doc_id")
+    # An id may be repeated in the documents: still no more than two texts for each id in all.
+    rows = known.orderBy("y", F.xxhash64("doc_id"), "doc_id", "t").limit(4 * per_class).collect()
     return [(r["t"], r["y"]) for r in rows]
