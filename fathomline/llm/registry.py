@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fathomline.llm import decontaminate, mixing, packing, simhash, tokens, toxicity, warc
+from fathomline.llm import decontaminate, mixing, packing, quality, simhash, tokens, toxicity, warc
 from fathomline.llm.common import table
 
 #: The tokenizer file of the queries; its folder is looked up when a query runs.
@@ -46,5 +46,9 @@ def op9_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"), max_repeat=MAX_REPEAT)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op4_warc, op6_simhash, op7_packing, op8_token_counts, op9_mixing)}
+def op10_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op4_warc, op6_simhash, op7_packing, op8_token_counts, op9_mixing, op10_quality)}
 SQL = {"op1_decontaminate": decontaminate.OP1_SQL}
