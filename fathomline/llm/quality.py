@@ -31,40 +31,63 @@ THRESHOLD = 0.5
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 
 
-def word_buckets(word: bytes) -> list[int]:
-    """Hashed features of one word: itself and the n-grams of its letters with its borders marked."""
-    own = b"\x02" + word + b"\x03"
-    return [zlib.crc32(word) % BUCKETS] + [zlib.crc32(own[i:i + n], n) % BUCKETS for n in GRAMS for i in range(len(own) - n + 1)]
+def word_features(words: list[bytes]):
+    """Hashed features of words: ``(bucket, index of the word, portion)``.
+
+    A word itself counts 1, the n-grams of its letters, with borders marked, share another 1.
+    """
+    text = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), np.uint8).astype(np.uint64)
+    size = np.array([len(w) + 2 for w in words])
+    end = np.cumsum(size)
+    whose = np.repeat(np.arange(len(words)), size)
+    left = end[whose] - np.arange(len(text))  # letters from here to the word's border
+    grams = sum(np.maximum(0, size - n + 1) for n in GRAMS)
+    at, of, share = [np.array([zlib.crc32(w) % BUCKETS for w in words], np.int64)], [np.arange(len(words))], [np.ones(len(words))]
+    for n in GRAMS:
+        place = np.flatnonzero(left >= n)
+        code = np.full(len(place), n, np.uint64)
+        for k in range(n):
+            code = code * np.uint64(0x100000001B3) + text[place + k]
+        at.append(((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % BUCKETS)
+        of.append(whose[place])
+        share.append(1 / grams[of[-1]])
+    return np.concatenate(at), np.concatenate(of), np.concatenate(share)
 
 
 class Words:
     """Numbers words and keeps what is constant about each: hash and share of the score."""
 
-    def __init__(self, weights=None, most=REMEMBERED):
-        self.weights, self.number, self.most = weights, {}, most
+    def __init__(self, weights=None):
+        self.weights, self.number, self.most = weights, {}, REMEMBERED
         self.hash, self.share = np.empty(1024, np.uint32), np.empty(1024)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         number = self.number
-        if len(number) > self.most:
-            number.clear()
         found = list(map(number.get, words))
         if None in found:
-            for i, known in enumerate(found):
-                if known is None:
-                    word = words[i]
-                    known = number.get(word)
-                    if known is None:
-                        known = number[word] = len(number)
-                        if known == len(self.hash):
-                            self.hash, self.share = np.resize(self.hash, 2 * known), np.resize(self.share, 2 * known)
-                        self.hash[known] = zlib.crc32(word)
-                        if self.weights is not None:
-                            at = word_buckets(word)
-                            self.share[known] = self.weights[at[0]] + self.weights[at[1:]].sum() / max(1, len(at) - 1)
-                    found[i] = known
+            self.learn([w for w, known in zip(words, found) if known is None])
+            found = list(map(number.__getitem__, words))
         return np.array(found, np.int64)
 
+    def room(self) -> None:
+        """Forget all words if there are too many; numbers given before are void then."""
+        if len(self.number) > self.most:
+            self.number.clear()
+
+    def learn(self, words) -> None:
+        """Number new words, with their hashes and shares."""
+        new = list(dict.fromkeys(w for w in words if w not in self.number))
+        if not new:
+            return
+        first = len(self.number)
+        self.number.update(zip(new, range(first, first + len(new))))
+        if len(self.number) > len(self.hash):
+            self.hash, self.share = (np.resize(v, 2 * len(self.number)) for v in (self.hash, self.share))
+        self.hash[first:len(self.number)] = [zlib.crc32(w) for w in new]
+        if self.weights is not None:
+            at, of, portion = word_features(new)
+            self.share[first:len(self.number)] = np.bincount(of, self.weights[at] * portion, len(new))
+
 
 def pair_buckets(hashes: np.ndarray) -> np.ndarray:
     """Hashed feature of each pair of neighbouring words."""
@@ -101,15 +124,12 @@ def fit(sample, rounds: int = 80, rate: float = 0.5, shrink: float = 1e-3):
     """
     if len({y for _, y in sample}) < 2:
         return np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), 0.0, 30.0
-    words = Words(most=np.inf)
+    words = Words()
     rows = [words.numbers(t.encode("utf-8", "replace").split()) for t, _ in sample]
     truth = np.array([y for _, y in sample], np.float64)
     size = np.array([max(1, len(r)) for r in rows])
     flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    buckets = [np.array(word_buckets(w)) for w in words.number]
-    at = np.concatenate(buckets)
-    which = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
-    portion = np.concatenate([np.r_[1.0, np.full(len(b) - 1, 1 / max(1, len(b) - 1))] for b in buckets])
+    at, which, portion = word_features(list(words.number))
     pairs = np.concatenate([pair_buckets(words.hash[r]) if len(r) > 1 else np.empty(0, np.int64) for r in rows])
     pair_of = np.repeat(np.arange(len(rows)), [max(0, len(r) - 1) for r in rows])
     pair_size = np.maximum(1, size - 1)
@@ -119,12 +139,12 @@ def fit(sample, rounds: int = 80, rate: float = 0.5, shrink: float = 1e-3):
     memory = [np.full(BUCKETS, 1e-10), np.full(BUCKETS, 1e-10), 1e-10]
 
     def raw():
-        share = np.bincount(which, w[at] * portion, len(buckets))
+        share = np.bincount(which, w[at] * portion, len(words.number))
         return np.bincount(of, share[flat], len(rows)) / size + np.bincount(pair_of, p[pairs], len(rows)) / pair_size
 
     for _ in range(rounds):
         miss = balance * (truth - 1 / (1 + np.exp(-(raw() + bias))))
-        per_word = np.bincount(flat, (miss / size)[of], len(buckets))
+        per_word = np.bincount(flat, (miss / size)[of], len(words.number))
         steps = [np.bincount(at, per_word[which] * portion, BUCKETS) - shrink * w * 1e-3,
                  np.bincount(pairs, (miss / pair_size)[pair_of], BUCKETS) - shrink * p * 1e-3, miss.sum()]
         memory = [m + g * g for m, g in zip(memory, steps)]
@@ -143,8 +163,10 @@ def measure(texts: list[str], model, words: Words) -> dict:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     counts, chance = {n: [] for n in names}, []
     _, pairs, slope, intercept = model
-    for t in texts:
-        data = t.encode("utf-8", "replace")
+    encoded = [t.encode("utf-8", "replace") for t in texts]
+    words.room()
+    words.learn(w for data in encoded for w in data.split())
+    for t, data in zip(texts, encoded):
         split = data.split()
         numbers = words.numbers(split)
         # Continuation bytes are 0x80 to 0xBF; all other bytes begin a code point.

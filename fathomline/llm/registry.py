@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fathomline.llm import decontaminate, mixing, packing, quality, simhash, tokens, toxicity, warc
+from fathomline.llm import decontaminate, licences, mixing, packing, quality, simhash, tokens, toxicity, warc
 from fathomline.llm.common import table
 
 #: The tokenizer file of the queries; its folder is looked up when a query runs.
@@ -30,6 +30,10 @@ def op4_warc(spark, sf_dir):
     return warc.archive(table(spark, sf_dir, "pages"), least=0)
 
 
+def op5_licences(spark, sf_dir):
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -50,5 +54,5 @@ def op10_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op4_warc, op6_simhash, op7_packing, op8_token_counts, op9_mixing, op10_quality)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op4_warc, op5_licences, op6_simhash, op7_packing, op8_token_counts, op9_mixing, op10_quality)}
 SQL = {"op1_decontaminate": decontaminate.OP1_SQL}
