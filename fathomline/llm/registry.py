@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fathomline.llm import decontaminate, licences, mixing, packing, quality, simhash, tokens, toxicity, warc
+from fathomline.llm import decontaminate, licences, mixing, packing, pagetext, quality, simhash, tokens, toxicity, warc
 from fathomline.llm.common import table
 
 #: The tokenizer file of the queries; its folder is looked up when a query runs.
@@ -26,6 +26,10 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op3_main_text(spark, sf_dir):
+    return pagetext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_warc(spark, sf_dir):
     return warc.archive(table(spark, sf_dir, "pages"), least=0)
 
@@ -54,5 +58,5 @@ def op10_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op4_warc, op5_licences, op6_simhash, op7_packing, op8_token_counts, op9_mixing, op10_quality)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op3_main_text, op4_warc, op5_licences, op6_simhash, op7_packing, op8_token_counts, op9_mixing, op10_quality)}
 SQL = {"op1_decontaminate": decontaminate.OP1_SQL}
