@@ -8,8 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from fathomline.plans.catalogue import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +28,7 @@ def ordered(df):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
