@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from fathomline.llm.common import map_texts
 
 #: Bound of the training sample: pages, characters of a page, blocks of a page.
-PAGES, LONGEST, MOST_BLOCKS = 400, 60_000, 300
+PAGES, LONGEST, MOST_BLOCKS = 160, 20_000, 100
 #: Hashed vectors for paths and words, their length, and hidden units in each direction.
 PATHS, WORDS, WIDTH, HIDDEN = 2048, 4096, 12, 16
 #: Measures of form beside the vectors.
@@ -239,7 +239,7 @@ def forward(model, arrays, keep=False):
     return sigmoid(states @ model["out"] + model["bias"]), (x, real, m_a, m_b, states, na, nb)
 
 
-def fit(pages: list[str], rounds: int = 60, rate: float = 0.02):
+def fit(pages: list[str], rounds: int = 40, rate: float = 0.03):
     """A model trained on pages, or nothing where no page says what its parts are."""
     cut = [blocks_of(p)[:MOST_BLOCKS] for p in pages]
     cut = [c for c in cut if c and not np.isnan([weak_label(b.path) for b in c]).all()]
