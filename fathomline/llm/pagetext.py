@@ -7,7 +7,8 @@ it in view. All vectors and weights are trained here by gradients through time.
 
 There are no labelled pages. Labels for training come from pages that say what their parts are: an element named as
 navigation, footer, advert, comments and so on marks its blocks as not text, else an article or main element marks them as
-text; other blocks carry no label. Some training pages are read without tag paths, so that words and order must do as well.
+text; other blocks carry no label. The same names are one of the inputs, which carries over to names that are not in the
+sample. Some training pages are read without tag paths, so that words, form and order must do as well.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from fathomline.llm.common import map_texts
 PAGES, LONGEST, MOST_BLOCKS = 160, 20_000, 100
 #: Hashed vectors for paths and words, their length, and hidden units in each direction.
 PATHS, WORDS, WIDTH, HIDDEN = 2048, 4096, 12, 16
-#: Measures of form beside the vectors.
-FORM = 4
+#: Measures of form beside the vectors: length, link share, stops, place, and what the names on the tag path say.
+FORM = 5
 #: Every so many-th training page is read without its tag paths.
-BLIND = 5
+BLIND = 10
 
 # Names of HTML elements and of page parts.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
@@ -151,7 +152,8 @@ class Reader:
                 word += own
                 word_of += [i] * len(own)
                 stops = b.text.count(".") + b.text.count(",")
-                form.append((np.log1p(len(own)) / 4, b.linked, min(1.0, 5 * stops / max(1, len(own))), 1.0 / (1 + t)))
+                named = 0.0 if p in blind else float(np.nan_to_num(4 * weak_label(b.path) - 2))
+                form.append((np.log1p(len(own)) / 4, b.linked, min(1.0, 5 * stops / max(1, len(own))), 1.0 / (1 + t), named))
                 page_of.append(p)
                 step.append(t)
         ints = [np.array(v, np.int64) for v in (path, path_of, word, word_of, page_of, step)]
@@ -239,7 +241,7 @@ def forward(model, arrays, keep=False):
     return sigmoid(states @ model["out"] + model["bias"]), (x, real, m_a, m_b, states, na, nb)
 
 
-def fit(pages: list[str], rounds: int = 40, rate: float = 0.03):
+def fit(pages: list[str], rounds: int = 90, rate: float = 0.03):
     """A model trained on pages, or nothing where no page says what its parts are."""
     cut = [blocks_of(p)[:MOST_BLOCKS] for p in pages]
     cut = [c for c in cut if c and not np.isnan([weak_label(b.path) for b in c]).all()]
