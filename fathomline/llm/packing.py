@@ -9,6 +9,7 @@ access copies nothing. A second Arrow file beside it lists the shard's documents
 from __future__ import annotations
 
 import itertools
+import os
 import re
 import uuid
 import zlib
@@ -22,43 +23,101 @@ from fathomline.llm.common import fresh_path, pieces, staged
 
 #: Ids in a sequence, and sequences in a batch of a file.
 SEQUENCE, BATCH = 2048, 256
-#: Runs that a task remembers, and texts that the library is asked for at once.
-REMEMBERED, ASKED = 100_000, 5_000
+#: Runs and their characters that a task remembers, texts that the library is asked for and runs gathered at once.
+REMEMBERED, REMEMBERED_CHARS, ASKED, GATHERED = 250_000, 8 << 20, 500, 50_000
 
 
 class RunEncoder:
     """Ids of whole texts by the tokenizers library.
 
-    The library is asked once per slice of texts for each distinct run: a byte-level tokenizer always starts a piece at a
-    lone space between other characters, so the ids of a text are those of its runs. Texts with white space beside a
-    space, or with a special token's string, go to the library whole.
+    The library is asked once for each distinct run: a byte-level tokenizer always starts a piece at a lone space between
+    other characters, so the ids of a text are those of its runs. Runs are numbered and their ids lie side by side in one
+    array, so the ids of a slice of texts are gathered by number. Texts with white space beside a space, or with a special
+    token's string, go to the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # One thread: Spark's tasks are the parallel part, and threads of the library each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s ", *special])).search
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def ask(self, texts: list[str]):
-        for i in range(0, len(texts), ASKED):
-            for e in self.library.encode_batch_fast(texts[i:i + ASKED], add_special_tokens=False):
-                yield e.ids
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))).search if special else lambda run: None
+        self.spaced = [t for t in special if " " in t]
+        #: Whether a token begins with a space (which byte-level vocabularies write as the letter 256 + 32).
+        self.opens = np.zeros(self.library.get_vocab_size(), bool)
+        self.opens[[i for t, i in self.library.get_vocab().items() if t[0] == chr(288)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.begin, self.size, self.odd = np.empty(0, np.uint32), *(np.empty(0, t) for t in (np.int64, np.int64, bool))
+        self.chars = 0
+
+    def ask(self, texts: list[str], at_once: int = ASKED):
+        for i in range(0, len(texts), at_once):
+            for e in self.library.encode_batch_fast(texts[i:i + at_once], add_special_tokens=False):
+                yield np.array(e.ids, np.uint32)
+
+    def is_odd(self, run: str) -> bool:
+        """Whether a run that a space follows keeps its text from being cut at spaces."""
+        return not run or run[-1].isspace() or self.special(run) is not None
+
+    def learn(self, new: list[str]) -> None:
+        """Runs that may stand side by side are asked for in rows: a token that begins with a space opens the next run."""
+        odd = np.fromiter(map(self.is_odd, new), bool, len(new))
+        plain = [r for r, o in zip(new, odd.tolist()) if not o]
+        made = list(self.ask(["".join([" " + r for r in plain[i:i + ASKED]]) for i in range(0, len(plain), ASKED)], 4))
+        size = [np.diff(np.flatnonzero(np.append(self.opens[row], True))) for row in made]
+        alone = [r for r, o in zip(new, odd.tolist()) if o]
+        made += self.ask([" " + r for r in alone])
+        size = np.concatenate([*size, np.fromiter(map(len, made[len(size):]), np.int64, len(alone))]).astype(np.int64)
+        new, odd = plain + alone, np.repeat([False, True], [len(plain), len(alone)])
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.odd = np.concatenate([self.odd, odd])
+        self.ids = np.concatenate([self.ids, *made])
+        self.chars += sum(map(len, new))
+
+    def numbers(self, runs: list[str]) -> np.ndarray:
+        try:
+            return np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        except KeyError:
+            self.learn(list(set(runs).difference(self.known)))
+        return np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+
+    def gather(self, numbers: np.ndarray, width) -> np.ndarray:
+        """The runs' ids in a row, some runs at a time."""
+        parts = [np.empty(0, width)]
+        for i in range(0, len(numbers), GATHERED):
+            some = numbers[i:i + GATHERED]
+            size = self.size[some]
+            end = np.cumsum(size)
+            parts.append(self.ids[np.repeat(self.begin[some] - end + size, size) + np.arange(end[-1])].astype(width))
+        return np.concatenate(parts)
 
     def encode(self, texts: list[str], end_id: int, width) -> list[np.ndarray]:
         """Ids of every text, with the end id."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, whole = self.known, [bool(self.whole(t)) for t in texts]
-        cut = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
-        new = list({r for runs in cut for r in runs[1:] if r not in known})
-        known.update((r, tuple(ids)) for r, ids in zip(new, self.ask([" " + r for r in new])))
-        heads = self.ask([t if w else runs[0] for t, w, runs in zip(texts, whole, cut)])
-        out, chain = [], itertools.chain.from_iterable
-        for head, runs in zip(heads, cut):
-            out.append(np.fromiter(itertools.chain(head, chain(map(known.__getitem__, runs[1:])), (end_id,)), width))
+        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.forget()
+        cut = [t.split(" ") for t in texts]
+        numbers = self.numbers(list(itertools.chain.from_iterable(runs[1:] for runs in cut)))
+        ends = np.cumsum([len(runs) - 1 for runs in cut])
+        # Nothing follows a text's last run, so white space at its end does no harm; a special token's string does.
+        odd = np.concatenate([[0], np.cumsum(self.odd[numbers])])
+        heads, whole = [], []
+        for t, runs, end in zip(texts, cut, ends.tolist()):
+            n, last = len(runs) - 1, runs[-1]
+            whole.append(bool(self.special(last) or n and (odd[end - 1] - odd[end - n] or runs[0] and self.is_odd(runs[0]))
+                              or any(s in t for s in self.spaced)))
+            heads.append(t if whole[-1] else runs[0])
+        body, places = self.gather(numbers, width), np.concatenate([[0], np.cumsum(self.size[numbers])])
+        stop, out = np.array([end_id], width), []
+        for head, w, runs, end in zip(self.ask(heads), whole, cut, ends.tolist()):
+            own = body[:0] if w else body[places[end - len(runs) + 1]:places[end]]
+            out.append(np.concatenate([head.astype(width), own, stop]))
         return out
 
 
