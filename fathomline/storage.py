@@ -6,6 +6,10 @@ and a later read still prunes columns and skips row groups.
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+
+# Open ``recorded`` blocks, innermost last; each lists the paths of the stage tables written in it.
+_BLOCKS = []
 
 
 def shared_dir(spark):
@@ -28,7 +32,28 @@ def shared_dir(spark):
 
 def stage_path(spark, label):
     """A fresh path in the shared folder; fresh, so a rerun never reads half of an older table."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for block in _BLOCKS:
+        block.append(path)
+    return path
+
+
+@contextmanager
+def recorded():
+    """The list of stage paths handed out inside the block, to be removed once nothing reads them any more."""
+    block = []
+    _BLOCKS.append(block)
+    try:
+        yield block
+    finally:
+        _BLOCKS.pop()
+
+
+def remove_stages(spark, paths):
+    """Remove stage tables, with the file system Spark itself uses for them; paths that are gone already do no harm."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def save_stage(df, label):
