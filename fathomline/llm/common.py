@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.storage import shared_dir
+from fathomline.storage import stage_path
 
 #: Text worked on at once inside a task; a longer text is a piece of its own.
 PIECE_BYTES = 2 << 20
@@ -21,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that all executors share, as a URI or as the session names it."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return stage_path(spark, label)
 
 
 def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:

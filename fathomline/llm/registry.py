@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from fathomline.llm import decontaminate, licences, mixing, packing, pagetext, quality, simhash, tokens, toxicity, warc
+from fathomline.llm import (decontaminate, fim, kdsearch, licences, merkle, mixing, packing, pagetext, quality, simhash, tokens,
+                            toxicity, warc)
 from fathomline.llm.common import table
 
 #: The tokenizer file of the queries; its folder is looked up when a query runs.
@@ -58,5 +59,19 @@ def op10_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op3_main_text, op4_warc, op5_licences, op6_simhash, op7_packing, op8_token_counts, op9_mixing, op10_quality)}
-SQL = {"op1_decontaminate": decontaminate.OP1_SQL}
+def op11_merkle(spark, sf_dir):
+    return merkle.manifest_check(table(spark, sf_dir, "documents"))
+
+
+def op12_topk(spark, sf_dir):
+    return kdsearch.nearest_by_id(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+def op13_fim(spark, sf_dir):
+    return fim.fim_digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_decontaminate, op2_toxicity, op3_main_text, op4_warc, op5_licences, op6_simhash, op7_packing, op8_token_counts, op9_mixing, op10_quality,
+    op11_merkle, op12_topk, op13_fim)}
+SQL = {"op1_decontaminate": decontaminate.OP1_SQL, "op12_topk": kdsearch.OP12_SQL, "op13_fim": fim.OP13_SQL}
