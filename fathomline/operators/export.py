@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-# Fixed value: dbar to psi.
+from fathomline.operators.layers import first_deepest
+
+# Dbar to psi, and the layout's column names.
 PSI_PER_DBAR = 1.45038
 LAYOUT = {"temperature_C": "Tv2C", "salinity_psu": "Sal2", "oxygen_saturation_percent": "Sbeox2PS"}
 
@@ -22,9 +24,7 @@ def cast_halves(rows, profile="cast_id", order="scan"):
 
     A cast whose upward half is a single row has no upward half.
     """
-    top = rows.groupBy(profile).agg(F.max("PrdE").alias("_top"))
-    turn = rows.join(top, profile).groupBy(profile).agg(
-        F.min(F.when(F.col("PrdE") == F.col("_top"), F.col(order))).alias("_turn"), F.max(order).alias("_end"))
+    turn = rows.groupBy(profile).agg(first_deepest("PrdE", order).alias("_turn"), F.max(order).alias("_end"))
     halves = rows.join(turn, profile).withColumn(
         "direction", F.when(F.col(order) < F.col("_turn"), "downward").otherwise("upward"))
     return halves.where((F.col("direction") == "downward") | (F.col("_end") > F.col("_turn"))).drop("_turn", "_end")

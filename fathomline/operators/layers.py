@@ -74,11 +74,15 @@ def mixed_layer(rows, cast="cast_id", order="scan"):
     return deep.join(surface, cast).groupBy(cast).agg(*_layer_ends(order))
 
 
+def first_deepest(depth, order):
+    """Aggregate: the first scan at the greatest depth; missing depths do not count. One pass: of equal depths the greatest
+    negative scan wins."""
+    return -F.max(F.when(F.col(depth).isNotNull(), F.struct(F.col(depth), (-F.col(order)).alias("back"))))["back"]
+
+
 def downcast_end(rows, cast="cast_id", order="scan", depth="depth_m"):
     """One row per cast: the first scan at the greatest depth."""
-    deepest = rows.groupBy(cast).agg(F.max(depth).alias("_deepest"))
-    return rows.join(deepest, cast).groupBy(cast).agg(
-        F.min(F.when(F.col(depth) == F.col("_deepest"), F.col(order))).alias("downcast_end"))
+    return rows.groupBy(cast).agg(first_deepest(depth, order).alias("downcast_end"))
 
 
 def with_downcast(rows, cast="cast_id", order="scan"):
@@ -89,16 +93,13 @@ def with_downcast(rows, cast="cast_id", order="scan"):
 
 
 def cast_marks(rows, cast="cast_id", order="scan"):
-    """Mixed layer and downcast end together: two passes of one aggregate each instead of four."""
+    """Mixed layer and downcast end together: two passes of one aggregate each."""
     counts = F.col(PRES) > MLD_MIN_PRESSURE
     first = F.when(counts, F.col(order))
     head = rows.groupBy(cast).agg(
         F.min_by(TEMP, first).alias("_t0"), F.min_by("density_kg_m3", first).alias("_d0"),
-        F.max("depth_m").alias("_deepest"))
-    both = rows.join(head, cast)
-    return both.groupBy(cast).agg(
-        *_layer_ends(order),
-        F.min(F.when(F.col("depth_m") == F.col("_deepest"), F.col(order))).alias("downcast_end"))
+        first_deepest("depth_m", order).alias("downcast_end"))
+    return rows.join(head, cast).groupBy(cast).agg(*_layer_ends(order), F.max("downcast_end").alias("downcast_end"))
 
 
 def n2_pairs(rows, cast="cast_id", order="scan", size=sequence.CHUNK):

@@ -15,23 +15,24 @@ def logbook_exact(profiles, entries, order="entry_no"):
 
 
 def logbook_prefix(profiles, entries, order="entry_no"):
-    """Logbook row -> first profile (by path) that equals ``ctd_file`` or whose name, less its last ``_`` part, starts it.
+    """Logbook row -> first profile (in walk order) that equals ``ctd_file`` or whose name, less its last ``_`` part, starts it.
 
     Each entry lists the prefixes of its own file name (as many as it has letters) and meets the profiles on equal text;
-    the profiles are reduced to the first path per text before that, so a text many profiles share stays one row.
+    the profiles are reduced to the first one per text before that, so a text many profiles share stays one row.
     """
-    named = profiles.select("path", base_name(F.col("path")).alias("_name"))
+    named = profiles.select(F.struct(walk_order(directory(F.col("path"))).alias("folder"), base_name(F.col("path")).alias("name"),
+                                     "path").alias("place"), base_name(F.col("path")).alias("_name"))
     base = F.regexp_replace("_name", r"_?[^_]*$", "")
-    keys = named.select("path", F.explode(F.array(
+    keys = named.select("place", F.explode(F.array(
         F.struct(F.lit("whole").alias("way"), F.col("_name").alias("text")),
-        F.struct(F.lit("start").alias("way"), base.alias("text")))).alias("k")).select("path", "k.*")
-    firsts = keys.where("text <> ''").groupBy("way", "text").agg(F.min("path").alias("path"))
+        F.struct(F.lit("start").alias("way"), base.alias("text")))).alias("k")).select("place", "k.*")
+    firsts = keys.where("text <> ''").groupBy("way", "text").agg(F.min("place").alias("place"))
     name = F.col("ctd_file")
     starts = F.transform(F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1))), lambda n: F.struct(
         F.lit("start").alias("way"), F.substring(name, F.lit(1), n).alias("text")))
     wanted = entries.where("ctd_file IS NOT NULL").select(order, F.explode(F.concat(
         F.array(F.struct(F.lit("whole").alias("way"), name.alias("text"))), starts)).alias("k")).select(order, "k.*")
-    best = wanted.join(firsts, ["way", "text"]).groupBy(order).agg(F.min("path").alias("path"))
+    best = wanted.join(firsts, ["way", "text"]).groupBy(order).agg(F.min("place")["path"].alias("path"))
     return entries.join(best, order)
 
 
@@ -92,6 +93,22 @@ def related_files(entries, files, order="entry_no",
         F.array(F.struct("kind", "path")))).alias("k")).select(order, "k.*")
 
 
+def station_files(matches, related=None, order="entry_no"):
+    """``(campaign, Station, file_name, kind, source, entry_no)``: the files of each station's folder.
+
+    A matched profile and the raw files its entry names go to the folder of the entry. Where two sources have one name in
+    one folder, the later entry's file stays, as later copies replace earlier ones.
+    """
+    place = matches.select(order, "campaign", "Station")
+    profiles = matches.select(order, "campaign", "Station", F.lit("profile").alias("kind"), "path")
+    whole = profiles if related is None else profiles.unionByName(related.join(place, order).select(
+        order, "campaign", "Station", "kind", "path"))
+    named = whole.withColumn("file_name", base_name(F.col("path")))
+    last = F.max_by(F.struct("kind", F.col("path").alias("source"), order), F.struct(F.col(order), F.col("kind") != "profile", "kind", "path"))
+    return named.groupBy("campaign", "Station", "file_name").agg(last.alias("_last")).select(
+        "campaign", "Station", "file_name", "_last.*")
+
+
 def with_activity_log(scans, log):
     """Station metadata on scans: a left join; the log is small, and the planner broadcasts it by its size."""
     return scans.join(log, "Station", "left")

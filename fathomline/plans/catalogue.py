@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from fathomline import fixtures, schema
 from fathomline.functions import seawater, text
 from fathomline.operators import clean, export, layers, reports, segment, sequence, stations
-from fathomline.plans import jobs
+from fathomline.plans import jobs, raw_tree
 from fathomline.plans import oracles as o
 from fathomline.session import tune
 from fathomline.sources import files, instruments, tables
@@ -332,6 +332,78 @@ def _(spark, sf_dir):
         "oxygen_concentration_ml_per_L"), oxygen_concentration_ml_per_L=8)
 
 
+# ---- files on disk -------------------------------------------------------------------------------------------------
+
+def raw_files_tree(spark, sf_dir):
+    return written(spark, sf_dir, "raw-tree", lambda _: raw_tree.write_raw_tree(
+        spark, sf_dir, idronaut_lines(spark, sf_dir), seabird_lines(spark, sf_dir), rbr_lines(spark, sf_dir),
+        exo_lines(spark, sf_dir), gf23_lines(spark, sf_dir), activity_raw(spark, sf_dir)))
+
+
+def ingested(spark, sf_dir):
+    """The tree read back once per session: ``(root, scans, rejected)``."""
+    key = (spark.sparkContext.applicationId, sf_dir, "ingested-tree")
+    if key not in fixtures._TABLES:
+        root = raw_files_tree(spark, sf_dir)
+        fixtures._TABLES[key] = (root, *jobs.ingest_tree(spark, root))
+    return fixtures._TABLES[key]
+
+
+def in_tree(path, root):
+    """The part of a path below the tree's root."""
+    return F.element_at(F.split(path, root.rsplit("/", 1)[1] + "/"), -1)
+
+
+TREE_FILE = """CASE cast_no % 2 WHEN 0 THEN 'north field/' ELSE 'süd 2/' END || CASE ctd_type
+  WHEN 'idronaut' THEN 'idro/' || cast_id || '_Idronaut.txt' WHEN 'seabird' THEN 'sb/' || cast_id || '.CNV'
+  WHEN 'rbr' THEN 'RBR/' || cast_id || '_data.txt' WHEN 'exo' THEN 'exo/KOR ' || cast_id || '.CSV' ELSE 'gf/' || cast_id || '.TXT' END"""
+
+
+@query("ingest_files", o.q(o.SCANS + "," + ACTIVITY, f"""
+SELECT {TREE_FILE} AS file, ctd_type, scan, {o.rounded("temperature_C conductivity_mS_per_m salinity_psu")},
+  round(pressure_dbar * CASE ctd_type WHEN 'exo' THEN 0.689476 ELSE 1 END, 8) AS pressure_dbar,
+  round(CASE WHEN ctd_type <> 'rbr' THEN ph END, 6) AS ph,
+  CASE WHEN ctd_type <> 'rbr' THEN NULL WHEN cast_no % 3 <> 2 THEN CASE cast_no % 4 WHEN 0 THEN 'mS/cm' ELSE 'mS/m' END
+    WHEN EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 5 = 2 AND s_suppkey % 3 <> 2 AND s_suppkey % 2 = cast_no % 2) THEN 'decoy' END AS unit,
+  CASE ctd_type WHEN 'gf23' THEN cast_id END AS station,
+  CASE ctd_type WHEN 'gf23' THEN round(Latitude, 8) END AS latitude,
+  CASE ctd_type WHEN 'gf23' THEN round(Longitude - cast_no % 2, 8) END AS longitude,
+  CASE ctd_type WHEN 'gf23' THEN strftime(date, '%Y-%m-%d') || ' 09:30:00' WHEN 'seabird' THEN NULL
+    ELSE strftime(coalesce(timestamp, datetime), '%Y-%m-%d %H:%M:%S') END AS clock, true AS dated
+FROM scans JOIN activity ON Station = cast_id"""))
+def _(spark, sf_dir):
+    root, scans, _ = ingested(spark, sf_dir)
+    return rounded(scans.select(
+        in_tree("path", root).alias("file"), "ctd_type", "scan", "pressure_dbar", "temperature_C", "conductivity_mS_per_m", "salinity_psu",
+        "ph", F.when(F.col("ctd_type") == "rbr", F.col("units")["Conductivity"]).alias("unit"), F.col("Station").alias("station"),
+        F.col("Latitude").alias("latitude"), F.col("Longitude").alias("longitude"),
+        stamp(F.coalesce("timestamp", "datetime")).alias("clock"), F.col("modified").isNotNull().alias("dated")),
+        pressure_dbar=8, latitude=8, longitude=8)
+
+
+@query("ingest_rejects", o.q(RBR_FILES, """
+SELECT 'north field/activity_log_ODV.csv' AS file, 'unknown instrument' AS reason UNION ALL
+SELECT 'süd 2/Activity_Log_ODV.CSV', 'unknown instrument' UNION ALL SELECT 'süd 2/notes.csv', 'unknown instrument' UNION ALL
+SELECT 'north field/suboceanexperiment_1.txt', 'subocean' UNION ALL SELECT 'süd 2/exo/KOR empty.csv', 'no rows' UNION ALL
+SELECT CASE k % 2 WHEN 0 THEN 'north field/' ELSE 'süd 2/' END || 'RBR/cast_' || k || '_metadata.txt', 'unknown instrument'
+FROM side WHERE sp LIKE '%.txt'"""))
+def _(spark, sf_dir):
+    root, _, rejected = ingested(spark, sf_dir)
+    return rejected.select(in_tree("path", root).alias("file"), "reason")
+
+
+@query("nearest_logs", o.q(o.SCANS, f"""
+SELECT DISTINCT {TREE_FILE} AS file, CASE cast_no % 2 WHEN 0 THEN 'north field' ELSE 'süd 2' END AS folder FROM scans"""))
+def _(spark, sf_dir):
+    # Every cast file of the tree, whatever its instrument: its log lies one folder up.
+    root = raw_files_tree(spark, sf_dir)
+    listing = files.classify(files.file_manifest(spark, root))
+    logs = listing.where(F.lower("path").endswith("activity_log_odv.csv")).select(text.directory(F.col("path")).alias("folder"))
+    casts = listing.where("ctd_type IS NOT NULL AND path NOT LIKE '%KOR empty.csv'")
+    return tables.nearest_folder(casts, logs).select(
+        in_tree("path", root).alias("file"), in_tree("folder", root).alias("folder"))
+
+
 @query("logbook_scan", o.q(o.LOGBOOK, "SELECT entry_no, Station, campaign, ctd_file, subocean_file FROM logbook"))
 def _(spark, sf_dir):
     def build():
@@ -709,6 +781,18 @@ def _(spark, sf_dir):
         "cast_id", "ctd_type", F.date_format("cast_date", "yyyy-MM-dd").alias("cast_date"))
 
 
+@query("daily_groups_file_time", o.q(o.SCANS, """
+SELECT cast_id, ctd_type, strftime(CASE WHEN cast_no % 3 = 0 THEN TIMESTAMP '2023-01-01 23:30:00' + to_days(CAST(cast_no % 500 AS INTEGER))
+  ELSE coalesce(timestamp, datetime) END, '%Y-%m-%d') AS cast_date FROM scans WHERE scan = 0"""))
+def _(spark, sf_dir):
+    # Every third cast has no clock of its own: its day is that of its file.
+    scans = level1(spark, sf_dir)
+    lost = {c: F.when(F.col("cast_no") % 3 != 0, F.col(c)) for c in ("timestamp", "datetime")}
+    made = F.expr("timestampadd(DAY, cast_no % 500, TIMESTAMP_NTZ'2023-01-01 23:30:00')")
+    return reports.daily_groups(scans.withColumns({**lost, "modified": made}), modified="modified").select(
+        "cast_id", "ctd_type", F.date_format("cast_date", "yyyy-MM-dd").alias("cast_date"))
+
+
 @query("concat_daily", o.q(o.SCANS + "," + o.DAILY, """
 SELECT group_id, scan, source_cast AS cast_id, source_scan, round(pressure_dbar, 6) AS pressure_dbar FROM daily"""))
 def _(spark, sf_dir):
@@ -800,8 +884,7 @@ def written(spark, sf_dir, label, write):
 
 @query("level2_table", o.q(COMBINED, f"SELECT campaign, profile_name AS cast_id, scan, {o.rounded(TABLE)} FROM combined"))
 def _(spark, sf_dir):
-    path = written(spark, sf_dir, "level2_table", lambda p: tables.write_profiles(
-        combined(spark, sf_dir), p, by=("campaign", "cast_id")))
+    path = written(spark, sf_dir, "level2_table", lambda p: tables.write_profiles(combined(spark, sf_dir), p))
     return rounded(spark.read.parquet(path).select("campaign", "cast_id", "scan", *TABLE.split()))
 
 
@@ -813,7 +896,7 @@ placed AS (SELECT DISTINCT regexp_extract(path, 'cast_[0-9]+') AS cast_id, coale
 SELECT campaign, Station, cast_id, scan, {o.rounded(TABLE)} FROM level2 JOIN placed USING (cast_id)"""))
 def _(spark, sf_dir):
     def write(path):
-        rows = processed(spark, sf_dir).withColumn("profile_name", F.concat("cast_id", F.lit("_1.csv")))
+        rows = processed(spark, sf_dir).withColumn("path", F.concat(F.lit("level2/"), "cast_id", F.lit("_1.csv")))
         entries = fixtures.logbook(spark, sf_dir).withColumn("campaign", F.coalesce("campaign", F.lit("none")))
         done = jobs.organise_stations(fixtures.profiles(spark, sf_dir), rows, entries)
         return tables.write_stations(done["rows"], path)
@@ -821,6 +904,43 @@ def _(spark, sf_dir):
     return rounded(spark.read.parquet(path).select("campaign", "Station", "cast_id", "scan", *TABLE.split()))
 
 
+STATION_FILES = """,
+sited AS (SELECT replace(path, 'level2/', 'level2/' || f || '/') AS path, name FROM profiles, (VALUES ('a'), ('b')) v(f)),
+firsts AS (SELECT entry_no, min(path) AS path FROM logbook, sited
+  WHERE ctd_file = name OR (regexp_replace(name, '_?[^_]*$', '') <> '' AND starts_with(ctd_file, regexp_replace(name, '_?[^_]*$', '')))
+  GROUP BY entry_no),
+placings AS (SELECT entry_no, coalesce(campaign, '') AS campaign, Station, path FROM logbook JOIN firsts USING (entry_no)),
+copies AS (SELECT entry_no, campaign, Station, 'profile' AS kind, path FROM placings UNION ALL
+  SELECT entry_no, campaign, Station, kind, related.path FROM related JOIN placings USING (entry_no))"""
+
+
+def sited_profiles(spark, sf_dir):
+    """Profiles of one name in two folders."""
+    return fixtures.profiles(spark, sf_dir).select(F.explode(F.array(*[
+        F.replace("path", F.lit("level2/"), F.lit(f"level2/{folder}/")) for folder in "ba"])).alias("path"))
+
+
+def organised(spark, sf_dir):
+    rows = processed(spark, sf_dir).select("cast_id", "scan", "pressure_dbar").select("*", F.explode(F.array(*[F.concat(
+        F.lit(f"level2/{folder}/"), "cast_id", F.lit("_1.csv")) for folder in "ab"])).alias("path"))
+    return jobs.organise_stations(sited_profiles(spark, sf_dir), rows, fixtures.logbook(spark, sf_dir), fixtures.raw_files(spark, sf_dir))
+
+
+@query("station_files", o.q(BOOK + "," + o.FILES + RELATED + STATION_FILES, """
+SELECT campaign, Station, regexp_extract(path, '[^/]*$') AS file_name, kind, path AS source, entry_no FROM (
+  SELECT *, row_number() OVER (PARTITION BY campaign, Station, regexp_extract(path, '[^/]*$')
+    ORDER BY entry_no DESC, kind <> 'profile' DESC, kind DESC, path DESC) AS k FROM copies) WHERE k = 1"""))
+def _(spark, sf_dir):
+    return organised(spark, sf_dir)["files"]
+
+
+@query("station_rows", o.q(o.SCANS + "," + o.full() + "," + BOOK + "," + o.FILES + RELATED + STATION_FILES, f"""
+SELECT campaign, Station, path, cast_id, scan, {o.rounded("pressure_dbar")}
+FROM (SELECT DISTINCT campaign, Station, path FROM placings) JOIN level2 ON path = 'level2/a/' || cast_id || '_1.csv'"""))
+def _(spark, sf_dir):
+    return rounded(organised(spark, sf_dir)["rows"].select("campaign", "Station", "path", "cast_id", "scan", "pressure_dbar"))
+
+
 @query("combined_scan", o.q(COMBINED, f"""
 SELECT profile_name, scan, {o.rounded(TABLE)}, CASE WHEN ctd_type = 'seabird' THEN round(salinity_psu_seabird, 6) END AS salinity_psu_seabird,
   is_downcast FROM combined"""))
@@ -832,10 +952,10 @@ def _(spark, sf_dir):
         # Two kinds of files with different columns, and one that is only metadata.
         plain = rows.where("ctd_type <> 'seabird'").select(*base)
         vendor = rows.where("ctd_type = 'seabird'").select("salinity_psu_seabird", *base)
-        tables.write_profiles(plain, f"{path}/a", ("profile_name",), form="csv")
-        tables.write_profiles(vendor, f"{path}/b", ("profile_name",), form="csv")
+        plain.repartition("profile_name").write.partitionBy("profile_name").option("header", True).csv(f"{path}/a")
+        vendor.repartition("profile_name").write.partitionBy("profile_name").option("header", True).csv(f"{path}/b")
         note = plain.where("scan = 30").withColumn("profile_name", F.lit("cast_metadata"))
-        tables.write_profiles(note, f"{path}/c", ("profile_name",), form="csv")
+        note.repartition("profile_name").write.partitionBy("profile_name").option("header", True).csv(f"{path}/c")
         return path
 
     columns = {"scan": "bigint", **{c: "double" for c in TABLE.split()}, "salinity_psu_seabird": "double",
@@ -856,11 +976,14 @@ PSI = ("SELECT cast_id, scan, temperature_C AS Tv2C, salinity_psu AS Sal2, oxyge
 LAYOUT = o.rounded("Tv2C Sal2 Sbeox2PS") + ", round(PrdE, 10) AS PrdE"
 
 
-@query("a2ps_split", o.q(o.SCANS + "," + o.full() + f""", a AS ({PSI}),
+SPLIT_LAYOUT = o.SCANS + "," + o.full() + f""", a AS ({PSI}),
 b AS (SELECT *, max("PrdE") OVER (PARTITION BY cast_id) AS mx FROM a),
 c AS (SELECT *, min(CASE WHEN "PrdE" = mx THEN scan END) OVER (PARTITION BY cast_id) AS turn FROM b),
 d AS (SELECT *, CASE WHEN scan < turn THEN 'downward' ELSE 'upward' END AS direction,
-      count(*) FILTER (WHERE scan >= turn) OVER (PARTITION BY cast_id) AS n_up FROM c)""", f"""
+      count(*) FILTER (WHERE scan >= turn) OVER (PARTITION BY cast_id) AS n_up FROM c)"""
+
+
+@query("a2ps_split", o.q(SPLIT_LAYOUT, f"""
 SELECT cast_id, direction, {LAYOUT} FROM (
   SELECT *, row_number() OVER (PARTITION BY cast_id, direction, "PrdE" ORDER BY scan) AS k FROM d
   WHERE direction = 'downward' OR n_up > 1) WHERE k = 1"""))
@@ -883,6 +1006,35 @@ def _(spark, sf_dir):
     return rounded(export.a2ps_clock(rows, clock="clock"))
 
 
+def exported(spark, sf_dir, form):
+    """Layout files written to the shared folder and read back, with the row's number in its file."""
+    def build():
+        rows = processed(spark, sf_dir).withColumn("clock", F.coalesce("timestamp", "datetime"))
+        return jobs.export_a2ps(rows, stage_path(spark, f"a2ps-{form}"), form, clock="clock")["files"]
+    return fixtures.once(spark, sf_dir, f"a2ps-{form}", build)
+
+
+def layout_cells(rows):
+    return [F.col("cells")[c].try_cast("double").alias(c) for c in ("PrdE", "Tv2C", "Sal2", "Sbeox2PS")]
+
+
+@query("export_a2ps", o.q(SPLIT_LAYOUT, f"""
+SELECT cast_id || '_' || direction || '_formatted' AS file, row_number() OVER (PARTITION BY cast_id, direction ORDER BY "PrdE") - 1 AS row_no, {LAYOUT}
+FROM (SELECT *, row_number() OVER (PARTITION BY cast_id, direction, "PrdE" ORDER BY scan) AS k FROM d
+  WHERE direction = 'downward' OR n_up > 1) WHERE k = 1"""))
+def _(spark, sf_dir):
+    rows = exported(spark, sf_dir, "split")
+    return rounded(rows.select("file", "row_no", *layout_cells(rows)))
+
+
+@query("export_a2ps_clock", o.q(o.SCANS + "," + o.full() + f", a AS ({PSI})", f"""
+SELECT cast_id || '_formatted' AS file, row_number() OVER (PARTITION BY cast_id ORDER BY scan) - 1 AS row_no, {LAYOUT},
+  strftime(coalesce(timestamp, datetime), '%H:%M:%S') AS "hh:mm:ss" FROM a"""))
+def _(spark, sf_dir):
+    rows = exported(spark, sf_dir, "clock")
+    return rounded(rows.select("file", "row_no", *layout_cells(rows), F.col("cells")["hh:mm:ss"].alias("hh:mm:ss")))
+
+
 # ---- summaries -----------------------------------------------------------------------------------------------------
 
 @query("sheet_discrete", o.q(COMBINED, """

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from fathomline import schema
 from fathomline.functions import seawater
-from fathomline.functions.text import base_name
-from fathomline.operators import clean, layers, reports, segment, sequence, stations
+from fathomline.functions.text import base_name, directory
+from fathomline.operators import clean, export, layers, reports, segment, sequence, stations
 from fathomline.sources import files, instruments, tables
 from fathomline.storage import save_stage
 
@@ -84,52 +84,90 @@ def process_daily(scans, cast="cast_id", order="scan", modified=None, size=0):
     return process_casts(concat_daily(scans, cast, order, modified), "group_id", order, size=size)
 
 
-def organise_stations(profiles, rows, entries, raw_files=None, profile="profile_name"):
+def organise_stations(profiles, rows, entries, raw_files=None, key="path"):
     """Matched profiles by station: dict of ``matches``, ``rows`` (with campaign and Station), the two leftovers, the
-    summary and, with ``raw_files``, the related raw files of matched entries."""
-    matches = stations.logbook_prefix(profiles, entries)
-    name = base_name(F.col("path")).alias(profile)
-    placed = matches.select(name, F.coalesce("campaign", F.lit("")).alias("campaign"), "Station").distinct()
-    out = {
+    summary, and ``files``: which file goes to which station's folder, with ``raw_files`` also the related raw files.
+
+    Rows are placed by the ``path`` of the profile they belong to, so one file name in two campaigns stays two profiles.
+    """
+    matches = stations.logbook_prefix(profiles, entries).withColumn("campaign", F.coalesce("campaign", F.lit("")))
+    placed = matches.select(F.col("path").alias(key), "campaign", "Station").distinct()
+    related = stations.related_files(matches, raw_files) if raw_files is not None else None
+    return {
         "matches": matches,
-        "rows": rows.join(placed, profile),
+        "rows": rows.drop("campaign", "Station").join(placed, key),
         "unmatched_profiles": stations.unmatched_profiles(profiles, matches),
         "unmatched_entries": stations.unmatched_entries(entries, matches),
         "summary": stations.match_summary(profiles, matches),
+        "files": stations.station_files(matches, related),
     }
-    if raw_files is not None:
-        out["related"] = stations.related_files(matches, raw_files)
-    return out
 
 
-def ingest_tree(spark, root):
-    """Every cast file under a folder -> Level1 scans of all instruments, plus the table of rejected files.
+def ingest_tree(spark, root, convert_units=False):
+    """Every cast file under a folder -> Level1 scans of all instruments, plus the table of rejected files and why.
 
-    The one driver step is listing which instruments occur (at most five names).
+    The text of the tree is scanned once, whatever its encoding; the readers share the numbered lines. A GF23 file belongs
+    to the activity log of its own or the nearest upper folder, an RBR file to the unit list that its name and folder
+    choose. ``modified`` is the file's time. A file that a reader takes but finds no row in is rejected too.
     """
     listing = files.classify(files.file_manifest(spark, root))
-    present = {r[0] for r in listing.select("ctd_type").distinct().collect() if r[0]}
-    log_files = files.find_named(listing, "activity_log_odv.csv")
-    tables_ = []
-    for kind in sorted(present):
-        # The glob keeps each reader to its own files; the join drops what the glob lets through.
-        mine = listing.where(F.col("ctd_type") == kind).select("path")
-        text = files.read_utf16_lines(spark, f"{root}") if kind == "exo" else files.tree_lines(spark, root)
-        lines = text.join(mine, "path", "left_semi")
-        if kind == "gf23":
-            logs = [r[0] for r in log_files.select("path").limit(1).collect()]
-            log = instruments.activity_log(spark.read.option("header", True).csv(logs[0])) if logs else None
-            tables_.append(instruments.ingest_gf23(lines, log))
-        else:
-            tables_.append(INGEST[kind](lines))
-    scans = tables.combine(tables_).withColumns({
-        "cast_id": F.col("path"), "source_file": base_name(F.col("path"))}) if tables_ else None
-    return scans, files.rejected(listing)
-
-
-INGEST = {
-    "idronaut": instruments.ingest_idronaut,
-    "seabird": instruments.ingest_seabird,
-    "exo": instruments.ingest_exo,
-    "rbr": instruments.ingest_rbr,
-}
+    lines = save_stage(files.tree_lines(spark, root, (*files.CAST_EXTENSIONS, ".json")), "tree-lines")
+    kinds = listing.where("ctd_type IS NOT NULL").select("path", "ctd_type")
+
+    name = F.lower("path")
+    commas = files.csv_records(lines.where(name.endswith(".csv") | name.endswith(".txt") & name.contains("_data")))
+
+    def mine(kind, source=lines):
+        return source.join(kinds.where(F.col("ctd_type") == kind).select("path"), "path", "left_semi")
+
+    log = instruments.activity_log(tables.activity_rows(commas))
+    logged = tables.nearest_folder(kinds.where("ctd_type = 'gf23'"), log)
+    units = tables.unit_table(kinds.where("ctd_type = 'rbr'"), tables.sidecar_texts(lines))
+    scans = tables.combine([
+        instruments.ingest_idronaut(mine("idronaut")), instruments.ingest_seabird(mine("seabird")),
+        instruments.ingest_gf23(mine("gf23"), log, logged), instruments.ingest_exo(mine("exo", commas)),
+        instruments.ingest_rbr(mine("rbr", commas), units, convert_units)])
+    scans = save_stage(scans.withColumns({"cast_id": F.col("path"), "source_file": base_name(F.col("path"))}), "ingested")
+    empty = listing.where("ctd_type IS NOT NULL").join(scans.select("path"), "path", "left_anti").withColumn("reason", F.lit("no rows"))
+    return scans, files.rejected(listing).unionByName(empty)
+
+
+def process_tree(spark, root, level1=None, level2=None, mode=None, latitude=schema.SITE_LATITUDE, form="parquet"):
+    """Files -> Level1 -> Level2: the batch over a folder of raw files.
+
+    ``mode``: None (a file is a cast), ``segment`` (a file is split into casts) or ``concatenate`` (a day's files of one
+    instrument are one cast). Returns the dict ``level1, level2, rejected, key``; with ``level1`` and ``level2`` paths the
+    tables are written there too, under the folder (campaign) that a file lies in.
+    """
+    scans, rejected = ingest_tree(spark, root)
+    if mode == "segment":
+        first = segment_profiles(scans).withColumn("cast_id", F.concat_ws("_", "cast_id", (F.col("segment") + 1).cast("string")))
+    elif mode == "concatenate":
+        first = concat_daily(scans, modified="modified").withColumn("cast_id", F.col("group_id"))
+    else:
+        first = scans
+    first = save_stage(first.withColumn("campaign", base_name(directory(F.col("path")))), "level1")
+    second = process_casts(first, latitude=latitude)
+    if level1:
+        tables.write_profiles(first, level1, form=form)
+    if level2:
+        second = save_stage(second, "level2")
+        tables.write_profiles(second, level2, form=form)
+    return {"level1": first, "level2": second, "rejected": rejected}
+
+
+def export_a2ps(rows, path, form="split", profile="cast_id", order="scan", clock="timestamp"):
+    """Layout files of every profile of a Level2 table, and the table read back from them.
+
+    ``form``: ``split`` (downward and upward file), ``whole`` (one row per pressure) or ``clock`` (every row, with clock
+    columns, in scan order). Profiles whose exported mean oxygen is negative are in ``warnings``.
+    """
+    layouts = {"split": export.a2ps_split, "whole": export.a2ps_whole}
+    if form == "clock":
+        layout, sort, direction = export.a2ps_clock(rows, profile, order, clock), order, None
+    else:
+        layout, sort, direction = layouts[form](rows, profile, order), "PrdE", "direction" if form == "split" else None
+    layout = save_stage(layout, "layout")
+    tables.write_layout(layout, path, profile, direction, sort, keep_sort=form != "clock")
+    keys = [profile, *([direction] if direction else [])]
+    return {"files": tables.read_layout(rows.sparkSession, path), "warnings": export.oxygen_warnings(layout, keys)}

@@ -4,9 +4,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from fathomline.functions.text import base_name, directory, extension, stem
+from fathomline.operators.sequence import CHUNK, running_sum
+from fathomline.storage import save_stage
 
 # Extensions that may hold casts.
 CAST_EXTENSIONS = (".cnv", ".txt", ".csv")
+# First bytes of UTF-16 text: the byte order mark of either order.
+LITTLE, BIG = "UTF-16LE", "UTF-16BE"
 
 
 def with_extensions(files, extensions=CAST_EXTENSIONS):
@@ -19,6 +23,17 @@ def with_extensions(files, extensions=CAST_EXTENSIONS):
     return files.where(keep)
 
 
+def plain_path(column):
+    """A path as it was written, from the form with ``%20`` for a blank that readers report."""
+    return F.url_decode(F.replace(column, F.lit("+"), F.lit("%2B")))
+
+
+def any_case_glob(extensions):
+    """File-name pattern for extensions in any case."""
+    letters = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e.lstrip(".")) for e in extensions]
+    return "*.{" + ",".join(letters) + "}"
+
+
 def file_manifest(spark, directory_path, extensions=CAST_EXTENSIONS, recursive=True):
     """``(path, modificationTime, length)``; file contents are never read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(directory_path)
@@ -55,42 +70,144 @@ def path_parts(files):
                               "extension": extension(path)})
 
 
-def read_lines(spark, paths):
-    """``(path, line_no, line)`` of UTF-8 text files of any size.
+def text_scan(spark, paths, glob=None):
+    """Text of any encoding, cut at every byte 0x0A: ``(path, modified, _block, _id, _raw, ...)``, many tasks per file.
 
-    A large file is read in blocks by many tasks. Rows of a block come in order, so a line's number is its place in the
-    block plus the lines of the blocks before it; only one row per block travels for that.
+    The byte ends a line in UTF-8 and is half of a line's end in UTF-16, so one scan serves both; which records are whole
+    lines is settled by ``numbered_lines``. Blank records and first bytes are noted here, so that counting needs no text.
     """
-    return numbered_lines(spark.read.text(paths))
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    raw = reader.text(paths).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_block_start").alias("_block"), F.col("value").cast("binary").alias("_raw"),
+        F.monotonically_increasing_id().alias("_id"))
+    return raw.withColumns({
+        "_size": F.octet_length("_raw").cast("bigint"),
+        "_blank": F.rlike(F.col("_raw").cast("string"), F.lit(r"^[\s\x00]*$")).cast("bigint"),
+        "_head": F.when(F.col("_block") == 0, F.hex(F.substring("_raw", 1, 2)))})
 
 
-def tree_lines(spark, root):
-    """Lines of every file under a folder; pair it with a semi-join on the wanted paths."""
-    return numbered_lines(spark.read.option("recursiveFileLookup", True).text(root))
+def read_lines(spark, paths):
+    """``(path, modified, line_no, row_no, line)`` of text files of any size, UTF-8 or UTF-16 with a byte order mark."""
+    return numbered_lines(text_scan(spark, paths))
 
 
-def numbered_lines(text):
-    """Number the lines of a text DataFrame per file."""
-    raw = text.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
-        F.col("value").alias("line")).withColumn("_id", F.monotonically_increasing_id())
-    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = raw.groupBy("path", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
-    blocks = blocks.select("path", "_block", (
-        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
-    return raw.join(blocks, ["path", "_block"]).select(
-        "path", (F.col("_id") + F.col("_shift")).alias("line_no"),
-        F.regexp_replace("line", "[\r﻿]", "").alias("line"))
+def tree_lines(spark, root, extensions=CAST_EXTENSIONS):
+    """Lines of every file with those extensions, in any case, under a folder: one scan for all of them."""
+    return numbered_lines(text_scan(spark, root, any_case_glob(extensions)))
 
 
-def lines_of(files, encoding="UTF-8"):
-    """``(path, line_no, line)`` from ``(path, content)`` with binary content; for encodings Spark cannot split."""
-    text = F.regexp_replace(F.decode("content", encoding), "[\r﻿]", "")
-    return files.select("path", F.posexplode(F.split(text, "\n")).alias("line_no", "line")).select(
-        "path", F.col("line_no").cast("bigint").alias("line_no"), "line")
+def numbered_lines(scan):
+    """Number the lines of each file of a ``text_scan``: ``line_no`` counts all lines, ``row_no`` those that are not blank.
 
-
-def read_utf16_lines(spark, root, glob="*.csv"):
-    """Lines of the UTF-16 files under a folder; a file is one row while it is decoded, which bounds it to 2 GB."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return lines_of(found.load(root).select("path", "content"), "UTF-16")
+    The scanned records are written once as a stage table, because numbers of the same scan must meet: a record's place is
+    its place in the block (the records of a block come in order) plus the records of the blocks before it. Only a row per
+    block is summed for that, from the columns without text. Blocks that hold blank lines are counted through in a window
+    of their own; the others need no shuffle.
+    """
+    raw = save_stage(scan, "lines")
+    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("path")
+    blocks = raw.groupBy("path", "_block").agg(
+        F.min("_id").alias("_first"), F.count("*").alias("_n"), F.sum("_blank").alias("_blanks"),
+        F.sum(F.col("_size") + 1).alias("_bytes"), F.min_by("_head", "_id").alias("_mark"))
+
+    def earlier(column):
+        return F.coalesce(F.sum(column).over(before), F.lit(0))
+
+    mark = F.max("_mark").over(whole)
+    blocks = save_stage(blocks.select(
+        "path", "_block", "_first", "_blanks", earlier("_n").alias("_lines_before"), earlier("_blanks").alias("_blanks_before"),
+        earlier("_bytes").alias("_bytes_before"),
+        F.when(mark == "FFFE", LITTLE).when(mark == "FEFF", BIG).otherwise("UTF-8").alias("_encoding")), "blocks")
+    narrow, kinds = blocks.where("_encoding = 'UTF-8'"), blocks.agg(F.max(F.col("_encoding") != "UTF-8")).first()[0]
+    text = F.col("_raw").cast("string")
+    # Bytes that are no UTF-8 are read as Latin-1, which old logger software writes for the degree and micro signs.
+    text = F.coalesce(F.try_validate_utf8(text), F.decode("_raw", "ISO-8859-1"))
+    place = F.col("_id") - F.col("_first") + F.col("_lines_before")
+    shape = ["path", "modified", place.alias("line_no")]
+    clean = raw.join(narrow.where("_blanks = 0"), ["path", "_block"]).select(
+        *shape, (place - F.col("_blanks_before")).alias("row_no"), text.alias("line"))
+    passed = Window.partitionBy("path", "_block").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = raw.join(narrow.where("_blanks > 0"), ["path", "_block"]).select(
+        *shape, (place - F.col("_blanks_before") - F.coalesce(F.sum("_blank").over(passed), F.lit(0))).alias("row_no"),
+        text.alias("line"))
+    lines = clean.unionByName(gaps)
+    if kinds:
+        lines = lines.unionByName(_wide_lines(raw.join(blocks.where("_encoding <> 'UTF-8'"), ["path", "_block"])))
+    return lines.withColumn("line", F.regexp_replace("line", "[\r\ufeff]", ""))
+
+
+def _wide_lines(records):
+    """Lines of UTF-16 files from records cut at each byte 0x0A, wherever the blocks begin.
+
+    A cut ends a line only if the byte is the low half of an aligned unit whose high half is zero. The place of every byte
+    is known from the sizes of the records before it (two levels: in the block, and per block), so each record tells on its
+    own whether it opens a line (little endian: the zero comes first in it) or closes one (big endian: it ends with it).
+    """
+    here = Window.partitionBy("path", "_block").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("_bytes_before") + F.coalesce(F.sum(F.col("_size") + 1).over(here), F.lit(0))
+    little = F.col("_encoding") == LITTLE
+    zero = F.expr("X'00'")
+    opens = (at == 0) | ((at % 2 == 1) & (F.substring("_raw", 1, 1) == zero))
+    closes = ((at + F.col("_size")) % 2 == 1) & (F.substring("_raw", -1, 1) == zero)
+    # The half unit of the line's end that stayed in the record is dropped.
+    kept = F.when(little & (F.col("_mark") == 1) & (at > 0), F.substring("_raw", F.lit(2), F.length("_raw"))).when(
+        ~little & (F.col("_mark") == 1), F.substring("_raw", F.lit(1), F.length("_raw") - 1)).otherwise(F.col("_raw"))
+    marked = save_stage(records.withColumn("_mark", F.when(little, opens).otherwise(closes).cast("bigint")).withColumn(
+        "_part", kept).select("path", "modified", "_block", "_id", "_encoding", "_mark", "_part"), "wide-records")
+    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = marked.groupBy("path", "_block").agg(F.sum("_mark").alias("_marks")).select(
+        "path", "_block", F.coalesce(F.sum("_marks").over(before), F.lit(0)).alias("_marks_before"))
+    number = F.col("_marks_before") + F.coalesce(F.sum("_mark").over(here), F.lit(0)) + F.when(little, F.col("_mark") - 1).otherwise(0)
+    numbered = marked.join(sums, ["path", "_block"]).withColumn("line_no", number)
+    glued = F.substring(F.aggregate(
+        F.array_sort(F.collect_list(F.struct("_id", "_part"))), F.expr("X''"),
+        lambda done, part: F.concat(done, F.expr("X'0A'"), part["_part"])), F.lit(2), F.lit(2**31 - 1))
+    lines = numbered.groupBy("path", "line_no").agg(
+        F.max("modified").alias("modified"), F.max("_encoding").alias("_encoding"), glued.alias("_bytes"))
+    # A file whose last byte is 0x0A without ending a line: the cut took half of its last letter.
+    even = F.when(F.length("_bytes") % 2 == 1, F.concat("_bytes", F.expr("X'0A'"))).otherwise(F.col("_bytes"))
+    lines = lines.select("path", "modified", "line_no", F.when(F.col("_encoding") == LITTLE, F.decode(even, LITTLE)).otherwise(
+        F.decode(even, BIG)).alias("line"))
+    lines = lines.withColumn("_full", F.rlike("line", F.lit(r"[^\s\ufeff]")).cast("bigint"))
+    counted = running_sum(lines, ["path"], "line_no", "_full", "_upto", CHUNK)
+    return counted.select("path", "modified", "line_no", (F.col("_upto") - F.col("_full")).alias("row_no"), "line")
+
+
+def csv_records(lines):
+    """Lines of comma tables in which a quoted cell may hold line breaks: a line that leaves a quote open takes in the
+    lines up to the one that closes it, and the rows after it are counted anew.
+
+    Only files with a line of an odd number of quotes are looked at, and where there is none the lines are returned as they
+    are; a quote that is never closed leaves its lines alone.
+    """
+    odd = (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2
+    marked = lines.withColumn("_odd", odd.cast("bigint"))
+    open_files = marked.where("_odd = 1").groupBy("path").agg(
+        F.max("line_no").alias("_last"), (F.count("*") % 2 == 1).alias("_unclosed")).select(
+        "path", F.when(F.col("_unclosed"), F.col("_last")).alias("_stray"))
+    open_files = save_stage(open_files, "open-quotes")
+    if open_files.isEmpty():
+        return lines
+    plain = lines.join(open_files, "path", "left_anti")
+    some = marked.join(open_files, "path").withColumn(
+        "_odd", F.when(F.col("line_no") == F.col("_stray"), 0).otherwise(F.col("_odd")))
+    some = running_sum(some, ["path"], "line_no", "_odd", "_upto", CHUNK)
+    some = some.withColumn("_opens", ((F.col("_upto") - F.col("_odd")) % 2 == 0).cast("bigint"))
+    some = running_sum(some, ["path"], "line_no", "_opens", "_record", CHUNK)
+    joined = some.groupBy("path", "_record").agg(
+        F.max("modified").alias("modified"), F.min("line_no").alias("line_no"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda e: e["line"]), "\n").alias("line"))
+    joined = joined.withColumn("_full", (F.trim("line") != "").cast("bigint"))
+    joined = running_sum(joined, ["path"], "line_no", "_full", "_rows", CHUNK)
+    return plain.unionByName(joined.select(
+        "path", "modified", "line_no", (F.col("_rows") - F.col("_full")).alias("row_no"), "line"))
+
+
+def csv_cells(line):
+    """Cells of a comma-separated line: quotes around a cell are removed, doubled ones inside become one."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(',("[^"]*(?:""[^"]*)*"|[^,]*)'), F.lit(1))
+    return F.transform(cells, lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), F.replace(
+        F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))

@@ -1,9 +1,16 @@
 """Side tables, level tables and their sinks."""
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathomline.functions.text import base_name, directory, stem, unit_map
-from fathomline.sources.files import numbered_lines
+from fathomline.sources.files import any_case_glob, csv_cells, csv_records, numbered_lines, text_scan
+
+# Bytes that a file of a level table should hold, and what a value of a row takes about.
+FILE_BYTES = 128 << 20
+VALUE_BYTES = 8
 
 LOGBOOK_NAMES = {"CTD file": "ctd_file", "Subocean File": "subocean_file", "Exo file": "exo_file",
                  "Exo file 2": "exo_file_2"}
@@ -45,36 +52,116 @@ def unit_table(data_files, sidecars):
     return chosen.join(units, "sidecar").select("path", "units").where("units IS NOT NULL")
 
 
-def write_profiles(rows, path, by=("campaign", "cast_id"), order="scan", form="parquet"):
-    """Level1/Level2 sink: one folder per profile.
+def sidecar_texts(lines):
+    """``(path, text)`` of unit lists: files named ``*.json`` or ``*_metadata.txt``, a few lines each."""
+    named = lines.where(F.col("path").endswith(".json") | F.col("path").endswith("_metadata.txt"))
+    return named.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.struct("line_no", "line"))), lambda e: e["line"]), "\n").alias("text"))
+
+
+def activity_rows(lines, name="activity_log_odv.csv"):
+    """Rows of every activity log among the lines (``csv_records``), as text by column, with the ``folder`` the log lies in.
 
-    Rows are range-partitioned on profile and scan, so each profile is written by few tasks and a huge one by several.
+    Columns are found by each log's own header. Of several spellings in one folder the first path counts.
     """
-    writer = rows.repartitionByRange(*by, order).sortWithinPartitions(*by, order).write.mode("overwrite")
-    writer = writer.option("header", True) if form == "csv" else writer
-    writer.partitionBy(*by).format(form).save(path)
+    mine = lines.where((F.lower(base_name(F.col("path"))) == name) & (F.trim("line") != ""))
+    mine = mine.withColumn("folder", directory(F.col("path")))
+    heads = mine.where("row_no = 0").groupBy("folder").agg(F.min(F.struct("path", csv_cells(F.col("line")).alias("names"))).alias("_h"))
+    heads = heads.select(F.col("_h.path").alias("path"), F.transform("_h.names", lambda n: F.trim(n)).alias("names"))
+    rows = mine.where("row_no > 0").join(heads, "path").withColumn("cells", csv_cells(F.col("line")))
+    wanted = ("Activity", "station_ID", "station_ODV", "date", "lat IN", "lat OUT", "long IN", "time In")
+    return rows.select("folder", *[F.nullif(F.get("cells", (F.array_position("names", F.lit(c)) - 1).cast("int")), F.lit("")).alias(c)
+                                   for c in wanted])
+
+
+def nearest_folder(files, folders):
+    """``(path, folder)``: the closest of the ``folders`` that a file lies in, its own or one further up.
+
+    A file lists its own path upwards and meets the folders on equal text.
+    """
+    parts = F.split(directory(F.col("path")), "/")
+    upwards = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    steps = files.select("path", F.posexplode(upwards).alias("_far", "folder"))
+    return steps.join(folders.select("folder").distinct(), "folder").groupBy("path").agg(F.min_by("folder", "_far").alias("folder"))
+
+
+def written_whole(spark, path, write):
+    """``write(place)`` beside ``path``, then moved there in one step: readers see the old table or the new one, and a job
+    that fails or a task that is run twice leaves ``path`` as it was."""
+    place = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    write(place)
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (place, path))
+    files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(new, old):
+        raise OSError(f"{place} is complete but could not be moved to {path}")
     return path
 
 
-def write_stations(rows, path, by=("campaign", "Station"), order=("cast_id", "scan")):
+def file_rows(rows, file_bytes=FILE_BYTES):
+    """Rows that a file of about that size holds."""
+    return max(1, file_bytes // (VALUE_BYTES * len(rows.columns)))
+
+
+def clustered(rows, order, file_bytes=FILE_BYTES):
+    """Rows in as many sorted ranges of ``order`` as files are needed for them all; runs one count."""
+    n = -(-rows.count() // file_rows(rows, file_bytes)) or 1
+    return rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+
+def as_text(rows):
+    """Maps, arrays and structs as JSON, for forms that only know plain values."""
+    nested = {c: F.to_json(c) for c, t in rows.dtypes if t.startswith(("map", "array", "struct"))}
+    return rows.withColumns(nested) if nested else rows
+
+
+def write_profiles(rows, path, by=("campaign",), order=("cast_id", "scan"), form="parquet", file_bytes=FILE_BYTES):
+    """Level1/Level2 sink: a folder per campaign (or per ``by``), inside it files of about ``file_bytes`` sorted by cast and scan.
+
+    A file holds many small casts, a huge cast is several files; the order lets a reader skip the files of other casts. The
+    number of files is that of the bytes plus one per folder at most. Maps become JSON in the CSV form.
+    """
+    rows = rows if form == "parquet" else as_text(rows)
+
+    def write(place):
+        writer = clustered(rows, [*by, *order], file_bytes).write.partitionBy(*by).option("header", form == "csv")
+        writer.format(form).save(place)
+
+    return written_whole(rows.sparkSession, path, write)
+
+
+def write_stations(rows, path, by=("campaign", "Station"), order=("cast_id", "scan"), file_bytes=FILE_BYTES):
     """Level2B sink: the matched rows of each station; only the stations at hand are overwritten."""
-    rows.repartitionByRange(*by, *order).write.mode("overwrite").option(
+    clustered(rows, [*by, *order], file_bytes).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     return path
 
 
-def write_layout(layout, path, profile="cast_id", direction=None, sort="PrdE"):
-    """Tab-separated ``.asc`` text per profile and direction, sorted by pressure."""
+def write_layout(layout, path, profile="cast_id", direction=None, sort="PrdE", keep_sort=True, file_bytes=FILE_BYTES):
+    """Tab-separated ``.asc`` text: a folder ``file=<profile><direction>_formatted`` each, sorted by ``sort`` throughout.
+
+    A profile is range-partitioned by ``sort``, so a huge one is written by several tasks as parts whose names follow the
+    order; ``read_layout`` counts on through them. Each part has the header. ``keep_sort`` leaves the sort column in.
+    """
     tag = F.lit("_formatted") if direction is None else F.concat(F.lit("_"), F.col(direction), F.lit("_formatted"))
     named = layout.withColumn("file", F.concat(F.col(profile), tag)).drop(profile, *([direction] if direction else []))
-    order = ["file", *([sort] if sort else [])]
-    named.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("file").option(
-        "sep", "\t").option("header", True).option("extension", "asc").csv(path)
-    return path
+    named = clustered(named, ["file", sort], file_bytes)
+    named = named if keep_sort else named.drop(sort)
+    return written_whole(layout.sparkSession, path, lambda place: named.write.partitionBy("file").option("sep", "\t").option(
+        "header", True).option("extension", "asc").csv(place))
 
 
-# A comma outside double quotes.
-CELL_BREAK = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+def read_layout(spark, path):
+    """The rows of ``write_layout``: ``(file, row_no, cells)``, ``row_no`` counting through the parts of a file, ``cells`` a MAP."""
+    lines = numbered_lines(text_scan(spark, path, any_case_glob(["asc"]))).where(F.trim("line") != "")
+    lines = lines.withColumns({"file": F.regexp_extract("path", r"/file=([^/]+)/", 1), "cells": F.split("line", "\t")})
+    heads = lines.where("row_no = 0").select("path", F.col("cells").alias("names"))
+    earlier = Window.partitionBy("file").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    parts = lines.groupBy("file", "path").agg((F.count("*") - 1).alias("_held")).select(
+        "path", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
+    rows = lines.where("row_no > 0").join(heads, "path").join(parts, "path")
+    return rows.select("file", (F.col("row_no") - 1 + F.col("_before")).alias("row_no"), F.map_from_arrays("names", "cells").alias("cells"))
 
 
 def read_profiles(spark, path, columns):
@@ -83,19 +170,14 @@ def read_profiles(spark, path, columns):
     ``columns`` maps the wanted names to types; they are found by each file's own header, so files with different
     columns line up and a column a file lacks is NULL. The tag is the file's stem, or its ``profile_name=`` folder.
     """
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
-    lines = numbered_lines(files)
+    lines = numbered_lines(text_scan(spark, path, any_case_glob(["csv"])))
     folder = F.regexp_extract("path", r"/profile_name=([^/]+)/", 1)
-    lines = lines.where(~F.lower(base_name(F.col("path"))).contains("metadata") & ~F.lower(folder).contains("metadata"))
-
-    def cells(column):
-        return F.transform(F.split(column, CELL_BREAK), lambda c: F.regexp_replace(c, '^"|"$', ""))
-
-    heads = lines.where("line_no = 0").select("path", cells(F.col("line")).alias("names"))
+    lines = csv_records(lines.where(~F.lower(base_name(F.col("path"))).contains("metadata") & ~F.lower(folder).contains("metadata")))
+    heads = lines.where((F.col("row_no") == 0) & (F.trim("line") != "")).select("path", csv_cells(F.col("line")).alias("names"))
     heads = heads.select("path", F.struct(*[
         F.array_position("names", F.lit(c)).cast("int").alias(c) for c in columns]).alias("at"))
-    rows = lines.where((F.col("line_no") > 0) & (F.trim("line") != "")).join(heads, "path").withColumn(
-        "cells", cells(F.col("line")))
+    rows = lines.where((F.col("row_no") > 0) & (F.trim("line") != "")).join(heads, "path").withColumn(
+        "cells", csv_cells(F.col("line")))
     return rows.select(*[
         F.nullif(F.get("cells", F.col("at")[c] - 1), F.lit("")).try_cast(kind).alias(c) for c, kind in columns.items()
     ], F.when(folder != "", folder).otherwise(stem(F.col("path"))).alias("profile_name"))
@@ -109,7 +191,6 @@ def combine(tables):
     return whole
 
 
-def write_combined(rows, path, by="campaign"):
-    """The campaign table the summaries read: columnar, partitioned by campaign."""
-    rows.write.mode("overwrite").partitionBy(by).parquet(path)
-    return path
+def write_combined(rows, path, by="campaign", order=("profile_name", "scan"), file_bytes=FILE_BYTES):
+    """The campaign table the summaries read: columnar, a folder per campaign, files sorted by profile."""
+    return write_profiles(rows, path, (by,), order, file_bytes=file_bytes)

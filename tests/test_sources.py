@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fathomline.operators import export, stations
 from fathomline.plans import jobs
 from fathomline.sources import files, instruments, tables
+from fathomline.storage import save_stage
 
 
 @pytest.fixture(scope="module")
@@ -62,8 +63,7 @@ def test_ingest_tree(spark, tree):
 def test_unit_lists(spark, tree):
     listing = files.file_manifest(spark, tree, (".txt", ".json"))
     data = files.classify(listing).where("ctd_type = 'rbr'").select("path")
-    side = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(
-        tree).select("path", F.decode("content", "UTF-8").alias("text"))
+    side = tables.sidecar_texts(files.tree_lines(spark, tree, (".txt", ".json")))
     units = tables.unit_table(data, side)
     assert units.first().units == {"Conductivity": "mS/cm"}
     lines = files.tree_lines(spark, tree).join(data, "path", "left_semi")
@@ -71,15 +71,62 @@ def test_unit_lists(spark, tree):
     assert instruments.ingest_rbr(lines, units, convert=True).first().conductivity_mS_per_m == 300.0
 
 
+def scan_in_ranges(spark, path, size):
+    """The scan of ``files.text_scan`` with byte ranges of that size, written as a table."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(n) for n in names]
+    for n, value in zip(names, (str(size), "1")):
+        spark.conf.set(n, value)
+    try:
+        return save_stage(files.text_scan(spark, path, files.any_case_glob(files.CAST_EXTENSIONS)), "ranges")
+    finally:
+        for n, value in zip(names, old):
+            spark.conf.set(n, value)
+
+
+TEXTS = {
+    "a b/é+x%20#1/f 1.csv": ("utf-16-le", b"\xff\xfe", ["h1,Ċ", "av,漢", "Ā਀x", "", "ਊ"]),
+    "a b/BE.CSV": ("utf-16-be", b"\xfe\xff", ["h1,Ċ", "", "av,漢", "ĀĊ਀x", "ਊ", "\U0001f600"]),
+    "a b/u8.txt": ("utf-8", b"\xef\xbb\xbf", ["h1,Ċ", "av,漢", "", " ", "last"]),
+    "latin.Txt": ("latin-1", b"", ["4 °C", "µS"]),
+}
+
+
+@pytest.mark.parametrize("size,end", [(3, "\n"), (5, "\r\n"), (10**6, "\n")])
+def test_text_of_any_encoding_in_byte_ranges(spark, tmp_path, size, end):
+    for name, (encoding, mark, lines) in TEXTS.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(mark + end.join(lines).encode(encoding))
+    got = {}
+    for r in files.numbered_lines(scan_in_ranges(spark, str(tmp_path), size)).orderBy("path", "line_no").collect():
+        got.setdefault(r.path.split(f"{tmp_path}/")[1], []).append((r.line_no, r.row_no, r.line))
+    want = {}
+    for name, (_, _, lines) in TEXTS.items():
+        full = [bool(x.strip()) for x in lines]
+        want[name] = [(i, sum(full[:i]), x) for i, x in enumerate(lines)]
+    assert got == want
+
+
+def test_one_scan_of_the_text(spark, tmp_path, capsys):
+    (tmp_path / "x.txt").write_text("a\nb\n")
+    files.text_scan(spark, str(tmp_path)).explain()
+    assert capsys.readouterr().out.count("FileScan text") == 1
+    files.read_lines(spark, str(tmp_path)).explain()
+    assert "FileScan text" not in capsys.readouterr().out
+
+
+def test_quoted_cells(spark):
+    lines = spark.createDataFrame([(0, 'a,"b,1",c'), (1, '"x'), (2, 'y",2'), (3, '"say ""hi""",'), (4, ",,"), (5, 'stray " quote')],
+                                  "line_no long, line string").selectExpr("'p' path", "current_timestamp() modified", "line_no", "line_no row_no", "line")
+    got = files.csv_records(lines).select("line_no", "row_no", files.csv_cells(F.col("line")).alias("c")).orderBy("line_no").collect()
+    assert [tuple(r) for r in got] == [(0, 0, ["a", "b,1", "c"]), (1, 1, ["x\ny", "2"]), (3, 2, ['say "hi"', ""]), (4, 3, ["", "", ""]),
+                                       (5, 4, ['stray " quote'])]
+
+
 def test_line_numbers_over_many_blocks(spark, tmp_path):
     path = tmp_path / "big.txt"
     path.write_text("\n".join(f"line {i}" for i in range(5000)) + "\n")
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
-        got = files.read_lines(spark, str(path)).collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = files.numbered_lines(scan_in_ranges(spark, str(path), 4096)).collect()
     assert sorted((r.line_no, r.line) for r in got) == [(i, f"line {i}") for i in range(5000)]
 
 
@@ -114,6 +161,55 @@ def test_layout_files(spark, tmp_path):
     assert [float(x.split("\t")[0]) for x in part[1:]] == pytest.approx([2 * 1.45038, 3 * 1.45038])
 
 
+def test_layout_in_parts_counts_on(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("concat('p', id % 2) cast_id", "id scan", "(id * 7919) % 5000 / 10D pressure_dbar",
+                                        "id * 1D temperature_C", "30D salinity_psu", "90D oxygen_saturation_percent")
+    out = str(tmp_path / "a2ps")
+    tables.write_layout(export.a2ps_whole(rows), out, file_bytes=8 * 1000 * 5)
+    assert len(list((tmp_path / "a2ps" / "file=p0_formatted").glob("*.asc"))) > 1
+    got = tables.read_layout(spark, out).select("file", "row_no", F.col("cells")["PrdE"].try_cast("double").alias("p")).collect()
+    for name in ("p0_formatted", "p1_formatted"):
+        mine = sorted((r.row_no, r.p) for r in got if r.file == name)
+        assert [n for n, _ in mine] == list(range(2500)) and [p for _, p in mine] == sorted(p for _, p in mine)
+
+
+def test_profile_sink_is_clustered(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("concat('c', id % 3) campaign", "concat('cast_', id % 500) cast_id", "id scan", "id * 0.5 x",
+                                          "map('k', cast(id as string)) extras")
+    out = str(tmp_path / "level2")
+    tables.write_profiles(rows, out, file_bytes=8 * 5 * 2000)
+    found = sorted((tmp_path / "level2").rglob("*.parquet"))
+    assert {p.parent.name for p in found} == {"campaign=c0", "campaign=c1", "campaign=c2"} and 10 <= len(found) <= 13
+    assert spark.read.parquet(out).count() == 20_000
+    tables.write_profiles(rows.limit(10), out, form="csv")
+    assert sorted(r.extras for r in spark.read.option("header", True).csv(out).collect())[0].startswith('{"k":')
+    with pytest.raises(Exception):
+        tables.write_profiles(rows.withColumn("x", F.raise_error(F.lit("broken"))), out)
+    assert spark.read.option("header", True).csv(out).count() == 10
+
+
+def test_nearest_folder(spark):
+    casts = spark.createDataFrame([("t/a/b/x.TXT",), ("t/a/y.TXT",), ("t/c/z.TXT",), ("w.TXT",)], "path string")
+    logs = spark.createDataFrame([("t/a",), ("t/a/b/d",), ("t",), ("t/a",)], "folder string")
+    assert {r.path: r.folder for r in tables.nearest_folder(casts, logs).collect()} == {
+        "t/a/b/x.TXT": "t/a", "t/a/y.TXT": "t/a", "t/c/z.TXT": "t"}
+
+
+@pytest.mark.parametrize("mode", [None, "concatenate", "segment"])
+def test_files_to_level2(spark, tmp_path, mode):
+    for k, folder in enumerate(("one", "two")):
+        (tmp_path / folder).mkdir()
+        depths = [0.3] * 5 + [abs(60 - abs(i % 120 - 60)) + 0.5 for i in range(240)]
+        lines = [f"{p} {8 - p / 20:.3f} {0.01 if i < 5 else 3000 + k} 30 100 07.03.2024 10:{i // 60:02}:{i % 60:02}" for i, p in enumerate(depths)]
+        (tmp_path / folder / "same_Idronaut.txt").write_text("Pres Temp Cond Sal O2% Date Time\n" + "\n".join(lines) + "\n")
+    done = jobs.process_tree(spark, str(tmp_path), mode=mode, level2=str(tmp_path / "out"))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert done["rejected"].count() == 0 and written.count() == done["level2"].count()
+    casts = {r.campaign: r.n for r in written.groupBy("campaign").agg(F.count_distinct("cast_id").alias("n")).collect()}
+    assert casts == {None: {"one": 1, "two": 1}, "concatenate": {"one": 1, "two": 1}, "segment": {"one": 2, "two": 2}}[mode]
+    assert written.where("processed AND pressure_dbar > 0 AND density_kg_m3 IS NULL").count() == 0
+
+
 def test_station_sink_overwrites_only_its_stations(spark, tmp_path):
     out = str(tmp_path / "level2b")
     make = lambda rows: spark.createDataFrame(rows, "campaign string, Station string, cast_id string, scan bigint")
