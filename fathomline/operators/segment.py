@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathomline.functions.text import stem
-from fathomline.operators.sequence import CHUNK, chunk_of, last_known, next_row, running_sum, with_halo
+from fathomline.operators.sequence import CHUNK, chunk_of, next_row, running_sum, with_halo
 from fathomline.storage import save_stage
 
 # A quadratic fitted to 21 samples, and the minima rules the segmentation uses by default.
@@ -23,6 +23,9 @@ DISTANCE = 50
 ROUNDS = 2
 # Length of the scan blocks in which scans meet the segments that cover them.
 BLOCK = 1024
+# Scans of a chunk in which minima left open are settled; of these at most every other is a minimum.
+OPEN_CHUNK = 1 << 22
+GONE, KEPT, OPEN = 0, 1, 2
 
 
 def _fit(at, m0, m1, m2):
@@ -102,12 +105,13 @@ def pressure_minima(turns, cast="cast_id", order="scan", size=CHUNK):
     return strict.unionByName(flat.select(cast, middle.alias(order), "smoothed"))
 
 
-def thin_minima(minima, distance=DISTANCE, cast="cast_id", order="scan", size=CHUNK, rounds=ROUNDS):
+def thin_minima(minima, distance=DISTANCE, cast="cast_id", order="scan", size=CHUNK, rounds=ROUNDS, open_size=OPEN_CHUNK):
     """Deepest first, drop minima nearer than ``distance`` to one already kept (equal depth: the later one first).
 
     A minimum that beats everything within the distance is certainly kept and its neighbours certainly go; this is
-    settled for all of them at once, ``rounds`` times. What is left falls apart into short runs, each run's members
-    nearer than ``distance`` to the next, and the greedy choice is made inside each run.
+    settled for all of them at once, ``rounds`` times. What is left open is settled in chunks of ``open_size`` scans, each
+    by itself as far as its minima do not hang on open ones beyond its border; with the borders moved by half a chunk this
+    is repeated until nothing is open, so a run of any length is worked through chunk by chunk, never held whole.
     """
     open_rows = with_halo(minima, order, 2 * distance * rounds, size).withColumns(
         {"_open": F.lit(True), "_kept": F.lit(False)})
@@ -122,59 +126,89 @@ def thin_minima(minima, distance=DISTANCE, cast="cast_id", order="scan", size=CH
             "_open": F.col("_open") & ~F.col("_beaten"),
         })
     core = save_stage(open_rows.where("_core").select(cast, order, "smoothed", "_kept", "_open"), "minima")
-    sure = core.where("_kept").select(cast, order, "smoothed")
-    left = core.where("_open").select(cast, order, "smoothed")
-
-    gap = next_row(left, [cast], order, [], size)
-    # A run ends where the next open minimum is far enough; its last scan names the run.
-    gap = gap.withColumn("_end", F.when(
-        F.col(f"next_{order}").isNull() | (F.col(f"next_{order}") - F.col(order) >= distance), F.col(order)))
-    runs = last_known(gap.drop(f"next_{order}"), [cast], order, "_end", "_run", size, later=True)
-    runs = runs.groupBy(cast, "_run").agg(F.sort_array(F.collect_list(
-        F.struct(F.col("smoothed").alias("s"), (-F.col(order)).alias("o")))).alias("_members"))
+    kept = core.where("_kept").select(cast, order, "smoothed")
+    rows = core.where("_open").select(cast, order, "smoothed", F.lit(OPEN).cast("tinyint").alias("state"))
+    kind = rows.schema[cast].dataType.simpleString()
+    schema = f"{cast} {kind}, {order} bigint, smoothed double, state tinyint"
+
+    def settle(group):
+        state = _settled(group[order].to_numpy(), group["smoothed"].to_numpy(), group["state"].to_numpy(),
+                         group["_core"].to_numpy(), distance)
+        keep = group["_core"].to_numpy() & (state != GONE) & (group["state"].to_numpy() != KEPT)
+        return group.loc[keep, [cast, order, "smoothed"]].assign(state=state[keep])
+
+    if size is None:
+        # Every cast is one chunk: nothing can stay open.
+        placed = rows.withColumn("_core", F.lit(True))
+        return kept.unionByName(_by_group(placed, [cast], order, settle, schema).drop("state"))
+    turn = 0
+    while not rows.where(F.col("state") == OPEN).isEmpty():
+        shift = (turn % 2) * (open_size // 2)
+        placed = with_halo(rows.withColumn("_place", F.col(order) + shift), "_place", distance, open_size)
+        after = save_stage(_by_group(placed, [cast, "_chunk"], order, settle, schema), "thinned")
+        kept = kept.unionByName(after.where(F.col("state") == KEPT).drop("state"))
+        # Minima kept just now still clear their surroundings beyond the border, in the next turn.
+        rows, turn = after, turn + 1
+    return kept
+
+
+def _settled(at, depth, state, core, distance):
+    """States after the greedy choice among one chunk's minima, in order of place. Minima of the halo whose own surroundings
+    are not all here stay open, and so does whatever hangs on an open one that beats it."""
+    n = len(at)
+    low, high = np.searchsorted(at, at - distance, "right"), np.searchsorted(at, at + distance, "left")
+    gone, waits = np.zeros(n, bool), ~core
+    for i in np.flatnonzero(state == KEPT).tolist():
+        gone[low[i]:high[i]] = True
+    out = np.full(n, GONE, np.int8)
+    out[state == KEPT] = KEPT
+    for i in np.lexsort((-at, depth)).tolist():
+        if gone[i]:
+            continue
+        if waits[i]:
+            out[i] = OPEN
+            waits[low[i]:high[i]] = True
+        else:
+            out[i] = KEPT
+            gone[low[i]:high[i]] = True
+    return out
 
-    def choose(kept, m):
-        taken = F.exists(kept, lambda k: F.abs(k["o"] - m["o"]) < distance)
-        return F.when(taken, kept).otherwise(F.concat(kept, F.array(m)))
 
-    empty = F.expr("CAST(array() AS array<struct<s:double,o:bigint>>)")
-    chosen = runs.select(cast, F.explode(F.aggregate("_members", empty, choose)).alias("_m")).select(
-        cast, (-F.col("_m.o")).alias(order), F.col("_m.s").alias("smoothed"))
-    return sure.unionByName(chosen)
+def _ranges(s, pick):
+    """Sparse table: entry k holds ``pick`` of every 2^k samples in a row, by the first one's place."""
+    table, width = [s], 1
+    while 2 * width <= len(s):
+        table.append(pick(table[-1][:-width], table[-1][width:]))
+        width *= 2
+    return table
 
 
 def _rise_before(s, depth):
     """For each sample: does the series, walked back from it, rise by ``depth`` before it sinks below it?
 
-    1 yes, 0 no, -1 undecided when the walk reaches the start. One pass with a stack of still open lower samples; each
-    entry keeps the highest value between it and the entry below it.
+    1 yes, 0 no, -1 undecided when the walk reaches the start. All samples walk at once, in steps of falling powers of two:
+    a step is taken where the least value of its range is not below the sample, and its greatest value is noted.
     """
-    out = np.full(len(s), -1, dtype=np.int8)
-    stack, highest = [], []
-    for i, v in enumerate(s):
-        top = v
-        while stack and s[stack[-1]] >= v:
-            stack.pop()
-            top = max(top, highest.pop())
-        if top >= v + depth:
-            out[i] = 1
-        elif stack:
-            out[i] = 0
-        stack.append(i)
-        highest.append(top)
-    return out
+    lows, highs = _ranges(s, np.minimum), _ranges(s, np.maximum)
+    at, top = np.arange(len(s)), s.copy()
+    for k in reversed(range(len(lows))):
+        start = at - (1 << k)
+        there = np.maximum(start, 0)
+        there = np.minimum(there, len(lows[k]) - 1)
+        go = (start >= 0) & (lows[k][there] >= s)
+        top = np.where(go, np.maximum(top, highs[k][there]), top)
+        at = np.where(go, start, at)
+    return np.where(top >= s + depth, 1, np.where(at > 0, 0, -1)).astype(np.int8)
 
 
 def _staircase(s, depth):
     """Marks the record lows and highs seen from the start, up to where they span ``depth``."""
-    marks = np.zeros(len(s), dtype=bool)
-    low, high = np.inf, -np.inf
-    for i, v in enumerate(s):
-        if v < low or v > high:
-            marks[i] = True
-            low, high = min(low, v), max(high, v)
-            if high - low >= depth:
-                break
+    low, high = np.minimum.accumulate(s), np.maximum.accumulate(s)
+    marks = np.ones(len(s), dtype=bool)
+    marks[1:] = (s[1:] < low[:-1]) | (s[1:] > high[:-1])
+    wide = np.flatnonzero(high - low >= depth)
+    if len(wide):
+        marks[wide[0] + 1:] = False
     return marks
 
 

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.text import base_name, directory, walk_order
 
-
+# Letters of the groups that the file-name index holds.
+GRAM = 3
 
 def logbook_exact(profiles, entries, order="entry_no"):
     """Profile path -> first logbook row whose ``ctd_file`` is the profile's file name."""
@@ -54,6 +55,12 @@ def match_summary(profiles, matches):
         F.count("_used").alias("matched_profiles"), F.count("*").alias("total_profiles"))
 
 
+def grams(text):
+    """All substrings of 1 to ``GRAM`` letters of a text, each once."""
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda at: F.substring(text, at, n)))))
+
+
 def related_files(entries, files, order="entry_no",
                   columns=("subocean_file", "exo_file", "exo_file_2")):
     """``(entry, kind, path)`` of the raw files an entry names.
@@ -61,28 +68,29 @@ def related_files(entries, files, order="entry_no",
     Folders in walk order; within one, the exact name, then the name in any case, then a name that contains the wanted
     text; the first hit wins. A SubOcean hit gives the ``.log`` and the ``.txt`` path.
 
-    "Contains" is an equi-join: a file lists its substrings of just the lengths some entry asks for.
+    "Contains" goes through an index of short letter groups: a wanted text asks with the one of its groups that the
+    fewest files have, and what it meets is verified. The other names meet on equal lower-case text. Hits are reduced to
+    the first per wanted text before they are shuffled.
     """
     wanted = entries.select(order, F.explode(F.array(*[
         F.struct(F.lit(c).alias("kind"), F.col(c).alias("text")) for c in columns])).alias("k")).select(
         order, "k.*").where("text IS NOT NULL AND text <> ''")
-    # The distinct lengths of the wanted texts: a handful of numbers, never more than a name has letters.
-    lengths = sorted(r[0] for r in wanted.select(F.length("text")).distinct().collect())
+    asks = wanted.select(F.col("text").alias("ask")).distinct()
     named = files.select("path", base_name(F.col("path")).alias("name"),
                          walk_order(directory(F.col("path"))).alias("folder"))
-    name = F.col("name")
-    asked = F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")
-    parts = F.flatten(F.transform(F.filter(asked, lambda n: n <= F.length(name)), lambda n: F.transform(
-        F.sequence(F.lit(1), F.length(name) - n + 1), lambda at: F.substring(name, at, n))))
-    texts = named.select("path", "folder", "name", F.explode(F.array_distinct(F.concat(
-        F.transform(parts, lambda p: F.struct(F.lit("part").alias("way"), p.alias("text"))),
-        F.array(F.struct(F.lit("case").alias("way"), F.lower(name).alias("text")))))).alias("k")).select(
-        "path", "folder", "name", "k.*")
-    asks = wanted.select("text").distinct().select(F.col("text").alias("ask"), F.explode(F.array(
-        F.struct(F.lit("part").alias("way"), F.col("text").alias("text")),
-        F.struct(F.lit("case").alias("way"), F.lower("text").alias("text")))).alias("k")).select("ask", "k.*")
-    rank = F.when(F.col("name") == F.col("ask"), 0).when(F.col("way") == "case", 1).otherwise(2)
-    found = texts.join(asks, ["way", "text"]).groupBy("ask").agg(
+    # A text of GRAM letters or more asks with whole groups only.
+    asked = asks.select("ask", F.explode(F.filter(grams(F.col("ask")), lambda g: F.length(g) == F.least(
+        F.length("ask"), F.lit(GRAM)))).alias("gram"))
+    index = named.select("path", "name", "folder", F.explode(grams(F.col("name"))).alias("gram")).join(
+        asked.select("gram").distinct(), "gram")
+    shared = index.groupBy("gram").count()
+    rarest = asked.join(shared, "gram", "left").groupBy("ask").agg(F.min_by("gram", F.struct(
+        F.coalesce("count", F.lit(0)), "gram")).alias("gram"))
+    rank = F.when(F.col("name") == F.col("ask"), 0).when(F.lower("name") == F.lower("ask"), 1).otherwise(2)
+    inside = index.join(rarest, "gram").where(F.contains("name", "ask"))
+    alike = named.withColumn("_low", F.lower("name")).join(asks.withColumn("_low", F.lower("ask")), "_low")
+    columns_ = ["ask", "folder", "name", "path"]
+    found = inside.select(*columns_).unionByName(alike.select(*columns_)).groupBy("ask").agg(
         F.min(F.struct("folder", rank.alias("rank"), "name", "path")).alias("hit"))
     hits = wanted.join(found, wanted["text"] == found["ask"]).select(order, "kind", F.col("hit.path").alias("path"))
     subocean = F.col("kind") == "subocean_file"

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,34 @@ def test_segments_cover_all_scans_and_share_one(spark, sf_dir, size):
     for cast, s in spans.items():
         assert s[0][0] == 0 and s[-1][1] == ends[cast]
         assert all(a[1] == b[0] for a, b in zip(s, s[1:]))
+
+
+@pytest.mark.parametrize("open_size", [400, 1 << 22])
+def test_thinning_of_a_long_run(spark, open_size):
+    # Every minimum is nearer than the distance to the next and shallower than the one before it, with a few equal ones.
+    n = 6000 if open_size > 400 else 700
+    depth = [float(-(n - i) // 2) for i in range(n)]
+    rows = spark.createDataFrame([("c", 2 * i, d) for i, d in enumerate(depth)], "cast_id string, scan bigint, smoothed double")
+    kept, want = [], []
+    for i in sorted(range(n), key=lambda i: (depth[i], -i)):
+        if all(abs(i - k) * 2 >= 50 for k in kept[-60:]):
+            kept.append(i)
+    got = segment.thin_minima(rows, 50, size=1024, open_size=open_size)
+    assert sorted(r.scan for r in got.collect()) == sorted(2 * i for i in kept)
+    assert sorted(r.scan for r in segment.thin_minima(rows, 50, size=None).collect()) == sorted(2 * i for i in kept)
+
+
+def test_rises_equal_a_plain_walk():
+    draw = np.random.default_rng(4)
+    for n in (1, 2, 3, 17, 64, 200):
+        s = draw.integers(0, 12, n).astype(float)
+        want = []
+        for i in range(n):
+            top, found = s[i], -1
+            for j in range(i - 1, -1, -1):
+                if s[j] < s[i]:
+                    found = 0
+                    break
+                top = max(top, s[j])
+            want.append(1 if top >= s[i] + 4 else found)
+        assert segment._rise_before(s, 4.0).tolist() == want
