@@ -219,12 +219,13 @@ def oxygen_mgkg(t, s, saturation):
 def oxygen_mgl(t, s, saturation):
     h = f"(({t} + 273.15D) / 100D)"
     # Weiss 1970, ml to mg.
-    free = f"249.6339D / {h} + 143.3483D * ln({h}) - 21.8492D * {h} - 173.4292D"
+    free = f"-173.4292D + 249.6339D / {h} + 143.3483D * ln({h}) - 21.8492D * {h}"
     return f"{saturation} * 1.428D * exp({free} + {s} * {poly([-0.033096, 0.014259, -0.0017], h)}) / 100D"
 
 
 def salinity_15c(conductivity):
     """Practical salinity at 15 degrees from conductivity in S/m."""
+    # PSS-78 at 15 degrees.
     return poly([0.0080, -0.1692, 25.3851, 14.0941, -7.0261, 2.7081], f"sqrt({conductivity} / 4.2914D)")
 
 

@@ -101,20 +101,13 @@ SITE_LONGITUDE = 60.0
 AIR_CONDUCTIVITY = 0.15
 AIR_CONDUCTIVITY_EXO = 5.0
 
-SENSOR_COLUMNS = [
-    "pressure_dbar", "depth_m", "temperature_C", "conductivity_mS_per_m", "salinity_psu",
-    "oxygen_saturation_percent", "oxygen_concentration_ml_per_L", "ph", "PAR_umol_m2_s", "turbidity_NTU",
-    "fluorescence_mg_m3", "chlorophyll_rfu", "sigma_t", "temperature_secondary_C", "pressure_sea_dbar",
-    "sound_speed_m_per_s", "conductivity_specific_mS_per_m",
-]
-
-# Columns process_casts needs; anything else in the input travels along unchanged.
+# Columns process_casts needs; anything else in the input travels along unchanged.
 REQUIRED_COLUMNS = [
     "scan", "ctd_type", "pressure_dbar", "temperature_C", "conductivity_mS_per_m", "salinity_psu",
     "oxygen_saturation_percent",
 ]
 
-# Measures a campaign dashboard averages or sums.
+# Measures a campaign dashboard averages or sums.
 MEASURES = [
     "N2", "PAR_avg_air", "PAR_umol_m2_s", "chlorophyll_rfu", "conductivity_mS_per_m", "density_kg_m3", "mld_dens",
     "mld_temp", "o2_mgkg", "o2_mgl", "o2_solubility_mgl", "o2_solubility_mll", "oxygen_concentration_ml_per_L",
@@ -150,9 +143,3 @@ def require(df, columns):
     if missing:
         raise ValueError(f"missing columns {missing}; present: {df.columns}")
     return df
-
-
-def null_for_nan(df, columns=None):
-    """NaN -> NULL, once, at ingest: Spark would otherwise rank NaN above every number."""
-    names = [c for c, t in df.dtypes if t == "double" and (columns is None or c in columns)]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in names})
