@@ -29,6 +29,15 @@ def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def store_of(folder: str):
+    """Arrow's file system for a folder as Spark names it, and the path in it. Spark's connectors for one store have schemes
+    of their own."""
+    from pyarrow import fs
+
+    scheme, mark, rest = folder.partition("://")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + mark + rest)
+
+
 def drop_stage(spark: SparkSession, path: str) -> None:
     """Remove a stage table of this run that no later read needs."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

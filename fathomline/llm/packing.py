@@ -16,15 +16,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from fathomline.llm.common import fresh_path, pieces, staged
+from fathomline.llm.common import fresh_path, pieces, staged, store_of
 
 #: Ids in a sequence, and sequences in a batch of a file.
 SEQUENCE, BATCH = 2048, 256
 #: Runs and their characters that a task remembers, texts that the library is asked for and runs gathered at once.
-REMEMBERED, REMEMBERED_CHARS, ASKED, GATHERED = 250_000, 8 << 20, 500, 50_000
+REMEMBERED, REMEMBERED_CHARS, ASKED, GATHERED = 600_000, 16 << 20, 500, 50_000
 
 
 class RunEncoder:
@@ -66,7 +68,9 @@ class RunEncoder:
 
     def learn(self, new: list[str]) -> None:
         """Runs that may stand side by side are asked for in rows: a token that begins with a space opens the next run."""
-        odd = np.fromiter(map(self.is_odd, new), bool, len(new))
+        # The slower test only where a special token's string stands in one of the runs.
+        test = self.is_odd if self.special("\n".join(new)) else lambda run: not run or run[-1].isspace()
+        odd = np.fromiter(map(test, new), bool, len(new))
         plain = [r for r, o in zip(new, odd.tolist()) if not o]
         made = list(self.ask(["".join([" " + r for r in plain[i:i + ASKED]]) for i in range(0, len(plain), ASKED)], 4))
         size = [np.diff(np.flatnonzero(np.append(self.opens[row], True))) for row in made]
@@ -82,11 +86,14 @@ class RunEncoder:
         self.chars += sum(map(len, new))
 
     def numbers(self, runs: list[str]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
-        except KeyError:
-            self.learn(list(set(runs).difference(self.known)))
-        return np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        """Numbers of distinct runs."""
+        out = np.fromiter(map(self.known.get, runs, itertools.repeat(-1)), np.int64, len(runs))
+        new = np.flatnonzero(out < 0).tolist()
+        if new:
+            asked = [runs[i] for i in new]
+            self.learn(asked)
+            out[new] = np.fromiter(map(self.known.__getitem__, asked), np.int64, len(asked))
+        return out
 
     def gather(self, numbers: np.ndarray, width) -> np.ndarray:
         """The runs' ids in a row, some runs at a time."""
@@ -98,36 +105,53 @@ class RunEncoder:
             parts.append(self.ids[np.repeat(self.begin[some] - end + size, size) + np.arange(end[-1])].astype(width))
         return np.concatenate(parts)
 
-    def encode(self, texts: list[str], end_id: int, width) -> list[np.ndarray]:
-        """Ids of every text, with the end id."""
+    def encode(self, texts: pa.Array, end_id: int, width) -> list[np.ndarray]:
+        """Ids of every text of an Arrow column, with the end id. Texts are cut in Arrow, so each distinct run of the column
+        is looked up once."""
         if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.forget()
-        cut = [t.split(" ") for t in texts]
-        numbers = self.numbers(list(itertools.chain.from_iterable(runs[1:] for runs in cut)))
-        ends = np.cumsum([len(runs) - 1 for runs in cut])
+        cut = pc.split_pattern(texts, " ")
+        runs = cut.flatten().dictionary_encode()
+        edges = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
+        index, later = runs.indices.to_numpy(), np.ones(len(runs), bool)
+        later[edges[:-1]] = False
+        used = np.unique(index[later])
+        number_of = np.zeros(len(runs.dictionary), np.int64)
+        number_of[used] = self.numbers(runs.dictionary.take(pa.array(used)).to_pylist())
+        numbers = number_of[index[later]]
+        first, final = (runs.dictionary.take(pa.array(index[at])).to_pylist() for at in (edges[:-1], edges[1:] - 1))
+        many = np.diff(edges) - 1
+        ends = np.cumsum(many)
         # Nothing follows a text's last run, so white space at its end does no harm; a special token's string does.
         odd = np.concatenate([[0], np.cumsum(self.odd[numbers])])
         heads, whole = [], []
-        for t, runs, end in zip(texts, cut, ends.tolist()):
-            n, last = len(runs) - 1, runs[-1]
-            whole.append(bool(self.special(last) or n and (odd[end - 1] - odd[end - n] or runs[0] and self.is_odd(runs[0]))
-                              or any(s in t for s in self.spaced)))
-            heads.append(t if whole[-1] else runs[0])
+        for i, (head, last, n, end) in enumerate(zip(first, final, many.tolist(), ends.tolist())):
+            whole.append(bool(self.special(last) or n and (odd[end - 1] - odd[end - n] or head and self.is_odd(head))
+                              or self.spaced and any(s in texts[i].as_py() for s in self.spaced)))
+            heads.append(texts[i].as_py() if whole[-1] else head)
         body, places = self.gather(numbers, width), np.concatenate([[0], np.cumsum(self.size[numbers])])
         stop, out = np.array([end_id], width), []
-        for head, w, runs, end in zip(self.ask(heads), whole, cut, ends.tolist()):
-            own = body[:0] if w else body[places[end - len(runs) + 1]:places[end]]
+        for head, w, n, end in zip(self.ask(heads), whole, many.tolist(), ends.tolist()):
+            own = body[:0] if w else body[places[end - n]:places[end]]
             out.append(np.concatenate([head.astype(width), own, stop]))
         return out
 
 
+#: Encoders that a worker process has made, by path: its next tasks find them, with all they remember.
+_LOADED: dict[str, RunEncoder] = {}
+
+
+def loaded(path: str) -> RunEncoder:
+    if path not in _LOADED:
+        _LOADED[path] = RunEncoder(path)
+    return _LOADED[path]
+
+
 class ShardWriter:
     """Writes a shard under names of its own and moves it into place at the end, so a repeated task does no harm."""
 
     def __init__(self, folder: str, shard: int, width, sequence: int, id_type: pa.DataType):
-        from pyarrow import fs
-
-        self.store, self.folder = fs.FileSystem.from_uri(folder)
+        self.store, self.folder = store_of(folder)
         self.store.create_dir(self.folder, recursive=True)
         self.name, self.own, self.width, self.sequence = f"shard-{shard:06d}", uuid.uuid4().hex, width, sequence
         self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(width), sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
@@ -179,7 +203,7 @@ class ShardReader:
     def __init__(self, folder: str, shard: int):
         from pyarrow import fs
 
-        store, path = fs.FileSystem.from_uri(folder)
+        store, path = store_of(folder)
         whole = f"{path}/shard-{shard:06d}"
         opened = pa.memory_map if isinstance(store, fs.LocalFileSystem) else store.open_input_file
         self.ids = pa.ipc.open_file(opened(f"{whole}.arrow"))
@@ -214,7 +238,7 @@ def write_packed(docs: DataFrame, tokenizer: str, end_id: int, sequence: int = S
     folder = fresh_path(spark, "packed")
     clean = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("t"), F.col("t")]
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[dict(clean.dtypes)["doc_id"]]
+    id_type = to_arrow_type(clean.schema["doc_id"].dataType)
 
     def write(batches):
         from pyspark import TaskContext
@@ -223,10 +247,10 @@ def write_packed(docs: DataFrame, tokenizer: str, end_id: int, sequence: int = S
         for batch in batches:
             for piece in pieces(batch, "t"):
                 if out is None:
-                    coder = RunEncoder(tokenizer)
+                    coder = loaded(tokenizer)
                     width = np.uint16 if max(end_id, coder.library.get_vocab_size() - 1) < 65536 else np.uint32
                     out = ShardWriter(folder, shard, width, sequence, id_type)
-                out.add(piece.column("doc_id"), coder.encode(piece.column("t").to_pylist(), end_id, width))
+                out.add(piece.column("doc_id"), coder.encode(piece.column("t"), end_id, width))
         if out is not None:
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64())} | {k: pa.array([v], pa.int64()) for k, v in out.close().items()})
 
