@@ -18,12 +18,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import drop_stage, fresh_path, same_key, staged
+from fathomline.llm.common import drop_stage, fresh_path, same_key, staged, store_of
 
 VERSION = b"WARC/1.1\r\n"
 #: Bytes after which a writer starts a new file, and bytes of a range that one task reads.
 FILE_BYTES, RANGE_BYTES = 64 << 20, 8 << 20
-#: Bytes read beyond a range for the header of its last candidate.
+#: Bytes read beyond a range for the header of its last candidate, to begin with.
 HEADER_BYTES = 16 << 10
 #: Fixed value: the date of all records, so that equal input gives equal files.
 DATE = "2024-01-01T00:00:00Z"
@@ -46,19 +46,24 @@ def record(page_id, url, payload: bytes, size: int, digest: str, refers_to) -> b
     return VERSION + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + body + b"\r\n\r\n"
 
 
+#: What ``header`` answers when the data end within the header.
+CUT_OFF = "cut off"
+
+
 def header(data: bytes, at: int):
-    """Header fields of the candidate at ``at`` and where its block starts; nothing if it is no header."""
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
-        return None
-    fields = {}
-    for line in data[at + len(VERSION):end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+    """Header fields of the candidate at ``at`` and where its block starts; None if it is no header. Lines are read one by one
+    up to the first that cannot stand there, so a payload full of version lines is not read again for each of them."""
+    fields, place = {}, at + len(VERSION)
+    while (end := data.find(b"\r\n", place)) >= 0:
+        if end == place:
+            length = fields.get(b"content-length", b"")
+            return (fields, end + 2) if length.isdigit() else None
+        name, colon, value = data[place:end].partition(b":")
         if not colon:
             return None
         fields[name.strip().lower()] = value.strip()
-    length = fields.get(b"content-length", b"")
-    return (fields, end + 4) if length.isdigit() else None
+        place = end + 2
+    return CUT_OFF
 
 
 def decide(pages: DataFrame, least: int) -> DataFrame:
@@ -89,36 +94,38 @@ def decide(pages: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"of": pa.array([base64.b32encode(bytes.fromhex(x)).decode() for x in batch.column("sha1").to_pylist()], pa.string()),
                                               "of_size": batch.column("of_size"), "kept": batch.column("kept")})
 
-    shown = shown.mapInArrow(base32, f"of string, of_size long, kept {kinds['page_id']}")
+    # Written, so that the planner knows how few groups there are and, if so, leaves the payloads where they are.
+    shown, _ = staged(shown.mapInArrow(base32, f"of string, of_size long, kept {kinds['page_id']}"), "warc-groups")
     joined = packed.join(shown, (packed["digest"] == shown["of"]) & (packed["size"] == shown["of_size"]), "left")
     return joined.select("page_id", "url", "packed", "size", "digest",
                          F.when(~same_key(F.col("page_id"), F.col("kept")), F.col("kept")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, least: int = 0) -> tuple[str, DataFrame]:
-    """A WARC record per row of ``pages``; returns the folder and ``file, bytes``. Files appear when they are complete."""
+    """A WARC record per row of ``pages``; returns the folder and ``file, bytes``.
+
+    A file's name is its own, so a task that runs twice replaces nothing: the table lists the files of the attempt that
+    Spark accepted, and only those are read.
+    """
     folder = fresh_path(pages.sparkSession, "warc")
 
     def write(batches):
-        from pyarrow import fs
         from pyspark import TaskContext
 
-        store, path = fs.FileSystem.from_uri(folder)
+        store, path = store_of(folder)
         store.create_dir(path, recursive=True)
         part, made, out, size, own = TaskContext.get().partitionId(), [], None, 0, None
         expand = zstandard.ZstdDecompressor().decompress
 
         def close():
             out.close()
-            name = f"part-{part:06d}-{len(made):04d}.warc"
-            store.move(own, f"{path}/{name}")
-            made.append((name, size))
+            made.append((own, size))
 
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    own, size = f"{path}/_{uuid.uuid4().hex}", 0
-                    out = store.open_output_stream(own)
+                    own, size = f"part-{part:06d}-{uuid.uuid4().hex}.warc", 0
+                    out = store.open_output_stream(f"{path}/{own}")
                 # An empty payload compresses to a frame without content.
                 payload = expand(row["packed"]) if row["size"] and row["refers_to"] is None else b""
                 data = record(row["page_id"], row["url"], payload, row["size"], row["digest"], row["refers_to"])
@@ -141,20 +148,21 @@ def scan_ranges(folder: str, files: DataFrame) -> DataFrame:
     many = max(1, ranges.count())
 
     def scan(batches):
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(folder)
+        store, path = store_of(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 begin, stop = row["begin"], min(row["begin"] + RANGE_BYTES, row["bytes"])
                 with store.open_input_file(f"{path}/{row['file']}") as source:
                     data = source.read_at(min(stop + HEADER_BYTES, row["bytes"]) - begin, begin)
-                out, at = [], data.find(VERSION)
-                while 0 <= at < stop - begin:
-                    if found := header(data, at):
-                        fields, block = found
-                        out.append((begin + at, begin + block + int(fields[b"content-length"]) + 4, fields))
-                    at = data.find(VERSION, at + 1)
+                    out, at = [], data.find(VERSION)
+                    while 0 <= at < stop - begin:
+                        while (found := header(data, at)) is CUT_OFF and begin + len(data) < row["bytes"]:
+                            # A header may run on for any length: read as much again.
+                            data += source.read_at(min(len(data), row["bytes"] - begin - len(data)), begin + len(data))
+                        if found and found is not CUT_OFF:
+                            fields, block = found
+                            out.append((begin + at, begin + block + int(fields[b"content-length"]) + 4, fields))
+                        at = data.find(VERSION, at + 1)
                 exits = {}
                 for start, after, _ in reversed(out):
                     # A successor within the range that is no candidate leads nowhere.
