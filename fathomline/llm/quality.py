@@ -107,8 +107,13 @@ def repeated_words(numbers: np.ndarray) -> int:
     """Words in windows of three words that stand in the text twice or more, the first included."""
     if len(numbers) < 4:
         return 0
-    # Three numbers below 2 ** 21 make one exact key.
-    keys = (numbers[:-2] << 42) | (numbers[1:-1] << 21) | numbers[2:]
+    if numbers.max() < 1 << 21:
+        # Three numbers below 2 ** 21 make one exact key.
+        keys = (numbers[:-2] << 42) | (numbers[1:-1] << 21) | numbers[2:]
+    else:
+        # Pairs are numbered anew first; two numbers below 2 ** 31 make one exact key.
+        _, pairs = np.unique((numbers[:-1] << 31) | numbers[1:], return_inverse=True)
+        keys = (pairs[:-1] << 31) | numbers[2:]
     _, which, count = np.unique(keys, return_inverse=True, return_counts=True)
     again = np.flatnonzero(count[which] > 1)
     hit = np.zeros(len(numbers), bool)
