@@ -212,7 +212,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: float = 1024.0, shar
         rows, _ = staged(vectors.where(usable()).select(
             "vec_id", F.col("embedding"), F.size("embedding").alias("dim"), F.coalesce(is_query, F.lit(False)).alias("asked"),
             F.monotonically_increasing_id().alias("row")), "kd-rows")
-        sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") / shard).alias("shards"), F.ceil(F.count_if("asked") / shard).alias("parts"))
+        # A row for each length of vector, written, so that the planner knows its size and does not shuffle the rows for it.
+        sizes, _ = staged(rows.groupBy("dim").agg(
+            F.ceil(F.count("*") / shard).alias("shards"), F.ceil(F.count_if("asked") / shard).alias("parts")), "kd-sizes")
         most = sizes.agg(F.max("shards")).first()[0] or 0
         dealt = rows.join(sizes, "dim").withColumns({
             "shard": F.pmod(F.xxhash64("row"), F.col("shards")), "vec_id": F.coalesce(F.col("vec_id").cast("bigint"), F.lit(NO_ID))})
