@@ -123,10 +123,16 @@ def mixture(docs: DataFrame, seed: int = 0, target_entropy: float | None = None,
 
 def remix(docs: DataFrame, seed: int = 0, target_entropy: float | None = None, max_repeat: float | None = None, budget: float | None = None,
           text: str = "text") -> DataFrame:
-    """The rows of ``docs``, each as often as the mixture takes it. Rows that agree in all of doc_id, source and text are
-    taken alike."""
-    taken = copies(docs, ["doc_id"], seed, target_entropy, max_repeat, budget, text)
-    times = taken.groupBy("doc_id", "source").agg(F.max("copies").alias("__copies")).withColumnsRenamed({"doc_id": "__doc", "source": "__source"})
-    joined = docs.join(times, same_key(docs["doc_id"], F.col("__doc")) & same_key(docs["source"], F.col("__source")), "left")
+    """The rows of ``docs``, each as often as the mixture takes it, with their own columns only.
+
+    Rows that agree in all of doc_id, source and text are taken alike; rows that share an id but not the text are taken
+    each for itself. NULL ids, sources and texts are values like others (NULL texts have no tokens); an empty table gives none.
+    """
+    marked = docs.withColumn("__digest", F.xxhash64(F.col(text)))
+    taken = copies(marked, ["doc_id", "__digest"], seed, target_entropy, max_repeat, budget, text)
+    times = taken.groupBy("doc_id", "source", "__digest").agg(F.max("copies").alias("__copies")).withColumnsRenamed(
+        {"doc_id": "__doc", "source": "__source", "__digest": "__of"})
+    joined = marked.join(times, same_key(marked["doc_id"], F.col("__doc")) & same_key(marked["source"], F.col("__source"))
+                         & (marked["__digest"] == F.col("__of")), "left")
     again = F.explode(F.sequence(F.lit(1), F.coalesce("__copies", F.lit(1)))).alias("__copy")
     return joined.where(F.coalesce("__copies", F.lit(1)) > 0).select(*docs.columns, again).select(docs.columns)

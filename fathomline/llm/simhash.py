@@ -274,11 +274,14 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: st
     """The rows of ``docs`` with one document of each component left, that with the smallest doc_id.
 
     Of repeated rows of that id one stays. Rows without an id stay (one) only where no member of the component has one.
+    NULL, empty and blank texts are one group; columns of any name are kept as they are; an empty table gives none.
     """
     marked, _ = staged(with_fingerprint(docs, ["doc_id"], text, shingle), "simhash-docs")
     groups, _ = staged(fingerprint_groups(marked, max_bits), "simhash-groups")
     stay = groups.where("component_id is not null").select(F.col("component_id").alias("doc_id"))
     named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    loose = with_fingerprint(docs.where("doc_id is null"), docs.columns, text, shingle)
+    # The whole row travels as one value, so its columns may have any names.
+    whole = docs.where("doc_id is null").select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text_of"))
+    loose = with_fingerprint(whole, ["__row"], "__text_of", shingle)
     loose = loose.join(groups.where("component_id is null").select("fp", "root"), "fp")
-    return named.unionByName(loose.dropDuplicates(["root"]).select(docs.columns))
+    return named.unionByName(loose.dropDuplicates(["root"]).select("__row.*"))

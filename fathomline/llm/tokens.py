@@ -26,7 +26,7 @@ BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: Fixed value: the pre-tokenizer's pattern, with the library's classes written for Python's re.
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^{BLANK}\w]|_)+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
 #: Pieces, runs and pairs of which a worker remembers the count; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Pieces worked on at once, their cells (pieces x length squared), and bytes beyond which a piece is worked on alone.
 AT_ONCE, CELLS, LONG_PIECE = 4096, 4_000_000, 48
 #: Slots (a power of two) in which a worker remembers which tokens may follow each other.
