@@ -54,12 +54,12 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def pieces(batch: pa.RecordBatch, column: str):
-    """Slices of an Arrow batch with at most ``PIECE_BYTES`` of text each, or one row."""
+def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES):
+    """Slices of an Arrow batch with at most ``most`` bytes of text each, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
-        if i > start and held + size > PIECE_BYTES:
+        if i > start and held + size > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size

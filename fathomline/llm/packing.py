@@ -25,8 +25,9 @@ from fathomline.llm.common import fresh_path, pieces, staged, store_of
 
 #: Ids in a sequence, and sequences in a batch of a file.
 SEQUENCE, BATCH = 2048, 256
-#: Runs and their characters that a task remembers, texts that the library is asked for and runs gathered at once.
-REMEMBERED, REMEMBERED_CHARS, ASKED, GATHERED = 600_000, 16 << 20, 500, 50_000
+#: Runs and their characters that a worker remembers, texts that the library is asked for and runs gathered at once, bytes
+#: of text encoded at once.
+REMEMBERED, REMEMBERED_CHARS, ASKED, GATHERED, SLICE_BYTES = 1_200_000, 32 << 20, 500, 50_000, 6 << 20
 
 
 class RunEncoder:
@@ -53,7 +54,7 @@ class RunEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.ids, self.begin, self.size, self.odd = np.empty(0, np.uint32), *(np.empty(0, t) for t in (np.int64, np.int64, bool))
         self.chars = 0
 
@@ -66,33 +67,35 @@ class RunEncoder:
         """Whether a run that a space follows keeps its text from being cut at spaces."""
         return not run or run[-1].isspace() or self.special(run) is not None
 
-    def learn(self, new: list[str]) -> None:
-        """Runs that may stand side by side are asked for in rows: a token that begins with a space opens the next run."""
+    def learn(self, new: list[str]) -> np.ndarray:
+        """Numbers of new runs. Those that may stand side by side are asked for in rows: a token that begins with a space
+        opens the next run."""
         # The slower test only where a special token's string stands in one of the runs.
-        test = self.is_odd if self.special("\n".join(new)) else lambda run: not run or run[-1].isspace()
-        odd = np.fromiter(map(test, new), bool, len(new))
+        risky = self.special("\n".join(new))
+        odd = np.array([self.is_odd(r) for r in new] if risky else [not r or r[-1].isspace() for r in new], bool)
         plain = [r for r, o in zip(new, odd.tolist()) if not o]
         made = list(self.ask(["".join([" " + r for r in plain[i:i + ASKED]]) for i in range(0, len(plain), ASKED)], 4))
         size = [np.diff(np.flatnonzero(np.append(self.opens[row], True))) for row in made]
         alone = [r for r, o in zip(new, odd.tolist()) if o]
         made += self.ask([" " + r for r in alone])
         size = np.concatenate([*size, np.fromiter(map(len, made[len(size):]), np.int64, len(alone))]).astype(np.int64)
-        new, odd = plain + alone, np.repeat([False, True], [len(plain), len(alone)])
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        out = np.empty(len(new), np.int64)
+        out[~odd], out[odd] = len(self.known) + np.arange(len(plain)), len(self.known) + len(plain) + np.arange(len(alone))
+        self.known = pa.concat_arrays([self.known, pa.array(plain + alone, pa.string())])
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.odd = np.concatenate([self.odd, odd])
+        self.odd = np.concatenate([self.odd, np.repeat([False, True], [len(plain), len(alone)])])
         self.ids = np.concatenate([self.ids, *made])
         self.chars += sum(map(len, new))
+        return out
 
-    def numbers(self, runs: list[str]) -> np.ndarray:
-        """Numbers of distinct runs."""
-        out = np.fromiter(map(self.known.get, runs, itertools.repeat(-1)), np.int64, len(runs))
-        new = np.flatnonzero(out < 0).tolist()
-        if new:
-            asked = [runs[i] for i in new]
-            self.learn(asked)
-            out[new] = np.fromiter(map(self.known.__getitem__, asked), np.int64, len(asked))
+    def numbers(self, runs: pa.Array) -> np.ndarray:
+        """Numbers of distinct runs; those known are found in Arrow, so only new ones become Python's strings."""
+        place = pc.index_in(runs, value_set=self.known)
+        new = place.is_null()
+        out = place.fill_null(0).to_numpy().astype(np.int64)
+        if place.null_count:
+            out[new.to_numpy(zero_copy_only=False)] = self.learn(runs.filter(new).to_pylist())
         return out
 
     def gather(self, numbers: np.ndarray, width) -> np.ndarray:
@@ -115,10 +118,7 @@ class RunEncoder:
         edges = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
         index, later = runs.indices.to_numpy(), np.ones(len(runs), bool)
         later[edges[:-1]] = False
-        used = np.unique(index[later])
-        number_of = np.zeros(len(runs.dictionary), np.int64)
-        number_of[used] = self.numbers(runs.dictionary.take(pa.array(used)).to_pylist())
-        numbers = number_of[index[later]]
+        numbers = self.numbers(runs.dictionary)[index[later]]
         first, final = (runs.dictionary.take(pa.array(index[at])).to_pylist() for at in (edges[:-1], edges[1:] - 1))
         many = np.diff(edges) - 1
         ends = np.cumsum(many)
@@ -245,7 +245,7 @@ def write_packed(docs: DataFrame, tokenizer: str, end_id: int, sequence: int = S
 
         shard, out = TaskContext.get().partitionId(), None
         for batch in batches:
-            for piece in pieces(batch, "t"):
+            for piece in pieces(batch, "t", SLICE_BYTES):
                 if out is None:
                     coder = loaded(tokenizer)
                     width = np.uint16 if max(end_id, coder.library.get_vocab_size() - 1) < 65536 else np.uint32
