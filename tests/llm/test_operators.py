@@ -199,6 +199,71 @@ def test_main_text_odd_rows(spark):
     assert pagetext.main_text(pages.limit(0)).count() == 0
 
 
+def test_main_text_without_names(corpus):
+    """Pages whose parts are all ``div`` without class words: nine of ten blocks are told as on the pages that name them."""
+    pages = [r.html for r in corpus["pages"].orderBy("page_id").collect() if r.html]
+    half = len(pages) // 2
+    model, reader = pagetext.fit([p for p in pages[:half] if len(p) <= pagetext.LONGEST][:pagetext.PAGES]), pagetext.Reader()
+    plain = [re.sub(r' class="ad"', "", re.sub(r"<(/?)(?:article|nav|footer)\b", r"<\1div", p)) for p in pages[half:]]
+    truth = [[pagetext.weak_label(b.path) == 1 for b in pagetext.blocks_of(p)] for p in pages[half:]]
+    cut = [pagetext.blocks_of(p) for p in plain]
+    told = [(c >= 0.5) == t for k, chance in pagetext.chances(cut, model, reader) for c, t in zip(chance, truth[k], strict=True)]
+    assert len(told) == sum(map(len, truth)) and sum(told) >= 0.9 * len(told)
+
+
+def test_label_rule_is_no_input():
+    """The same numbers go in whether or not the rule would have spoken: only hashed names, words and form."""
+    named = pagetext.blocks_of('<article class="story"><p>some words, here</p></article>')
+    reader = pagetext.Reader()
+    arrays = reader.arrays([named])
+    assert arrays[4].shape == (1, pagetext.FORM) and len(arrays[0]) == len(named[0].path)
+    assert pagetext.masked(named[0].path) == ["div", "p"]
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<a "' * 250_000, "<!--" * 300_000, "<svg>" * 150_000, "<a '>\"" * 150_000, "<" * 1_000_000,
+                                  "</p>" * 250_000, "<!" * 500_000, "<script>" * 100_000, "</script " * 100_000])
+def test_pages_of_broken_tags_are_read_in_one_scan(page):
+    import time
+
+    start = time.process_time()
+    pagetext.blocks_of(page)
+    assert time.process_time() - start < 5
+
+
+def test_tags_as_written():
+    def texts(page):
+        return [b.text for b in pagetext.blocks_of(page)]
+
+    assert texts('<p title="a > b">one</p>two') == ["one", "two"]
+    assert texts("<p title='a>one</p>two") == ["one", "two"]          # a quote that never closes hides nothing
+    assert texts("a < b<br>c &lt; d") == ["a < b", "c < d"]
+    assert texts("x<svg/>y<svg><text>no</text></svg>z") == ["x", "y", "z"]
+    assert texts("x<script>var a='</p>';</script>y") == ["x", "y"]
+    assert texts("x<!-- <p>no</p> -->y<!doctype html>z") == ["xyz"]
+    assert texts("one<a href") == ["one<a href"]
+    deep = pagetext.blocks_of("<div>" * 500 + "<nav>in</nav>" + "</div>" * 500 + "<p>out</p>")
+    assert [b.text for b in deep] == ["in", "out"] and deep[0].path[-1] == "nav" and deep[1].path == ["p"]
+    assert len(deep[0].path) == pagetext.OUTER + pagetext.INNER
+
+
+def test_long_pages_are_read_alone():
+    lengths = [3, 0, 20_000, 5, 7, 6_000] + [4] * 200
+    made = list(pagetext.groups(lengths))
+    assert sorted(i for g in made for i in g) == [i for i, n in enumerate(lengths) if n]
+    assert all(len(g) == 1 or len(g) * max(lengths[i] for i in g) <= pagetext.CELLS for g in made) and [2] in made
+
+
+def test_inputs_in_slices_equal_one_piece(monkeypatch):
+    pages = [[pagetext.Block(f"w{i} and {i % 7} more words", ["div", "p"], 0.0) for i in range(n)] for n in (1, 40, 90)]
+    model = pagetext.fresh()
+    model["word"] += 0.1
+    whole = pagetext.forward(model, pagetext.Reader().arrays(pages))[0]
+    monkeypatch.setattr(pagetext, "GATHER", 7)
+    monkeypatch.setattr(pagetext, "STEPS", 16)
+    sliced = pagetext.forward(model, pagetext.Reader().arrays(pages))[0]
+    assert abs(whole - sliced).max() < 1e-6
+
+
 def test_mixture_keeps_every_document(corpus, empty):
     docs = corpus["documents"]
     made = mixing.remix(docs, max_repeat=1.5)
