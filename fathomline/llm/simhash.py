@@ -1,13 +1,17 @@
 """SimHash near-duplicates through a hierarchical index in Gray order.
 
-Fingerprints that differ in few bits share most masked bit patterns. Sorted by Gray rank, neighbours differ in few bits,
-so a run of fingerprints has many bits in common: a node of the index keeps that mask and pattern, and two nodes whose
-common bits already differ in more than the limit are dropped as a whole. Differences add up from level to level, since a
-lower node knows all bits of the upper one and some more.
-
-On Spark: distinct fingerprints are range-partitioned by Gray rank and packed into blocks (the upper nodes, one row each).
-Blocks meet by an equi-join on prefix keys within the bit limit, never all against all; surviving pairs of blocks are
-searched in tasks down to leaves of 64. A task returns a spanning forest of its links, not the links, so a large group of
+Fingerprints within the limit of ``k`` differing bits agree wholly on one of ``k + 1`` parts of their bits. The upper nodes of
+the index are these shared masked patterns: each fingerprint enters one node for each part, ``(mask, pattern)``. A node
+that holds more than ``GROUP`` fingerprints is divided again by the parts of its remaining bits, until all nodes are small; a
+node with few remaining bits cannot be large. So every fingerprint moves a fixed number of times, however many there are.
+
+Inside a node fingerprints are sorted by the Gray rank of the bits that are not shared. Neighbours differ in few bits, so a
+run of them has many bits in common: a lower node keeps that mask and pattern, and two lower nodes whose common bits
+already differ in more than the limit are dropped as a whole. Differences add up from level to level, since a lower node
+knows all bits of the upper one and some more.
+
+On Spark: nodes are counted with map-side aggregates, large ones go to the next level, small ones are shuffled by node and
+searched in tasks, many at once. A task returns a spanning forest of the links of a node, not the links, so a large group of
 near copies stays linear. Components of the forests are found by contraction in Spark.
 """
 
@@ -16,19 +20,21 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.common import drop_stage, map_texts, staged
 
-#: Fingerprints in a block; a pair of blocks is searched in one task (twice 512 KB).
-BLOCK = 65536
-#: Fingerprints in the nodes of the levels below a block, from the top.
+#: Fingerprints that an upper node holds at most when it is searched.
+GROUP = 16384
+#: Greatest bit distance: a node with as many remaining bits holds fewer than ``GROUP``, so dividing always ends.
+MOST_BITS = 12
+#: Fingerprints in the nodes of the levels below, from the top.
 LEVELS = (4096, 512, 64)
-#: Pairs of leaves compared at once.
-LEAF_PAIRS = 128
+#: Pairs of leaves compared at once, and fingerprints of whole small nodes worked on at once.
+LEAF_PAIRS, AT_ONCE = 128, 65536
 
 
 # -- fingerprints ---------------------------------------------------------------------------------------------------
@@ -85,33 +91,15 @@ def nodes(fps: np.ndarray, size: int):
     return same, fps[at] & same
 
 
-def blocks(prefix_bits: int):
-    """Cut a partition, sorted by Gray rank, into blocks: id, mask, pattern, packed fingerprints, prefixes it covers."""
-    def run(batches):
-        from pyspark import TaskContext
+def parts_of(mask: int, parts: int) -> list[int]:
+    """Masks of the remaining bits, cut into parts of about equal size, each joined with the given mask."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(free) * i // parts for i in range(parts + 1)]
+    return [mask | sum(1 << b for b in free[i:j]) for i, j in zip(cuts, cuts[1:])]
 
-        part, count, held = TaskContext.get().partitionId(), itertools.count(), np.empty(0, np.int64)
 
-        def row(fps):
-            mask, pattern = nodes(fps.view(np.uint64), len(fps))
-            return {"block": part * 2 ** 32 + next(count), "mask": mask.view(np.int64)[0],
-                    "pattern": pattern.view(np.int64)[0], "fps": fps.tobytes(),
-                    "prefixes": np.unique(fps.view(np.uint64) >> np.uint64(64 - prefix_bits)).astype(np.int64)}
-
-        for batch in batches:
-            held = np.concatenate([held, batch["fp"].to_numpy()])
-            while len(held) > BLOCK:
-                yield pd.DataFrame([row(held[:BLOCK])])
-                held = held[BLOCK:].copy()
-        if len(held):
-            yield pd.DataFrame([row(held)])
-
-    return run
-
-
-def flips(width: int, limit: int) -> list[int]:
-    """All patterns of ``width`` bits with at most ``limit`` bits set."""
-    return [sum(1 << b for b in chosen) for n in range(limit + 1) for chosen in itertools.combinations(range(width), n)]
+def signed(mask: int) -> int:
+    return mask - 2 ** 64 if mask >= 2 ** 63 else mask
 
 
 class Forest:
@@ -132,28 +120,24 @@ class Forest:
                 self.label = up
 
 
-def search(left: np.ndarray, right: np.ndarray, same: bool, limit: int) -> Forest:
-    """Forest of the links within ``limit`` bits between two blocks in Gray order (right ones count on from the left)."""
-    forest = Forest(len(left) + (0 if same else len(right)))
-    shift = 0 if same else len(left)
-    # One root on either side, whose shared bits are unknown so far: no difference yet.
+def search(fps: np.ndarray, limit: int, forest: Forest, first: int = 0) -> None:
+    """Link what is within ``limit`` bits among fingerprints in Gray order, numbered from ``first`` in the forest."""
+    # One root, whose shared bits are unknown so far: no difference yet.
     pair_a, pair_b = np.zeros(1, np.int64), np.zeros(1, np.int64)
     seen, known, above = np.zeros(1, np.int64), np.zeros(1, np.uint64), None
     for size in LEVELS:
-        (mask_a, form_a), (mask_b, form_b) = nodes(left, size), nodes(right, size)
-        fan = len(mask_a) if above is None else above // size
-        fan_b = len(mask_b) if above is None else above // size
-        a = (pair_a[:, None, None] * fan + np.arange(fan)[:, None]) + np.zeros((1, 1, fan_b), np.int64)
-        b = (pair_b[:, None, None] * fan_b + np.arange(fan_b)) + np.zeros((1, fan, 1), np.int64)
+        mask, form = nodes(fps, size)
+        fan = len(mask) if above is None else above // size
+        spot = np.arange(fan)
+        a = (pair_a[:, None, None] * fan + spot[:, None]) + np.zeros((1, 1, fan), np.int64)
+        b = (pair_b[:, None, None] * fan + spot) + np.zeros((1, fan, 1), np.int64)
         up = np.broadcast_to(np.arange(len(pair_a))[:, None, None], a.shape).ravel()
         a, b = a.ravel(), b.ravel()
-        real = (a < len(mask_a)) & (b < len(mask_b))
-        if same:
-            real &= a <= b
+        real = (a <= b) & (b < len(mask))
         a, b, up = a[real], b[real], up[real]
-        common = mask_a[a] & mask_b[b]
+        common = mask[a] & mask[b]
         # Only the bits that the upper pair did not share are new; their differences are added.
-        total = seen[up] + np.bitwise_count((form_a[a] ^ form_b[b]) & common & ~known[up])
+        total = seen[up] + np.bitwise_count((form[a] ^ form[b]) & common & ~known[up])
         near = total <= limit
         pair_a, pair_b, seen, known, above = a[near], b[near], total[near], common[near], size
     leaf = LEVELS[-1]
@@ -161,50 +145,85 @@ def search(left: np.ndarray, right: np.ndarray, same: bool, limit: int) -> Fores
     for i in range(0, len(pair_a), LEAF_PAIRS):
         at_a = pair_a[i:i + LEAF_PAIRS, None] * leaf + spot
         at_b = pair_b[i:i + LEAF_PAIRS, None] * leaf + spot
-        fp_a, fp_b = left[np.minimum(at_a, len(left) - 1)], right[np.minimum(at_b, len(right) - 1)]
+        fp_a, fp_b = fps[np.minimum(at_a, len(fps) - 1)], fps[np.minimum(at_b, len(fps) - 1)]
         which, x, y = np.nonzero(np.bitwise_count(fp_a[:, :, None] ^ fp_b[:, None, :]) <= limit)
         x, y = at_a[which, x], at_b[which, y]
-        real = (x < len(left)) & (y < len(right))
-        forest.link(x[real], y[real] + shift)
-    return forest
+        real = (x < y) & (y < len(fps))
+        forest.link(x[real] + first, y[real] + first)
+
+
+def forest_edges(fps: np.ndarray, starts: np.ndarray, limit: int):
+    """Edges ``(u, v)`` of the forests of whole nodes that lie one after another, each sorted by Gray rank.
+
+    Nodes of at most a leaf's size are compared side by side, row by row at growing distance; larger ones are searched one by one.
+    """
+    sizes, forest = np.diff(np.r_[starts, len(fps)]), Forest(len(fps))
+    leaf = LEVELS[-1]
+    left = np.where(sizes <= leaf, sizes, 0).repeat(sizes) - (np.arange(len(fps)) - starts.repeat(sizes))  # rows of the node from here on
+    one, other = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    rows = np.flatnonzero(left > 1)
+    for step in range(1, leaf):
+        rows = rows[left[rows] > step]
+        if not len(rows):
+            break
+        near = rows[np.bitwise_count(fps[rows] ^ fps[rows + step]) <= limit]
+        one.append(near)
+        other.append(near + step)
+    forest.link(np.concatenate(one), np.concatenate(other))
+    for start, size in zip(starts[sizes > leaf].tolist(), sizes[sizes > leaf].tolist()):
+        search(fps[start:start + size], limit, forest, start)
+    tree = np.flatnonzero(forest.label != np.arange(len(fps)))
+    return fps[tree].view(np.int64), fps[forest.label[tree]].view(np.int64)
+
+
+def searched(rows: DataFrame, limit: int) -> DataFrame:
+    """Forest edges within nodes ``(mask, pattern)`` of at most ``GROUP`` fingerprints each."""
+    inside = gray_rank(F.col("fp").bitwiseAND(F.bitwise_not("mask")))
+    placed = rows.repartition("mask", "pattern").sortWithinPartitions("mask", "pattern", inside)
+
+    def compare(batches):
+        def made(fps, mask, pattern):
+            starts = np.flatnonzero(np.r_[True, (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])])
+            a, b = forest_edges(fps.view(np.uint64), starts, limit)
+            return pa.RecordBatch.from_pydict({"u": pa.array(np.maximum(a, b)), "v": pa.array(np.minimum(a, b))})
+
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("fp", "mask", "pattern"))]
+            if len(held[0]) >= AT_ONCE:
+                # All whole nodes; the last may go on in the next batch.
+                cut = np.flatnonzero((held[1] != held[1][-1]) | (held[2] != held[2][-1]))
+                if len(cut):
+                    yield made(*[h[:cut[-1] + 1] for h in held])
+                    held = [h[cut[-1] + 1:].copy() for h in held]
+        if len(held[0]):
+            yield made(*held)
+
+    return placed.select("fp", "mask", "pattern").mapInArrow(compare, "u long, v long")
 
 
 def links(fps: DataFrame, limit: int) -> DataFrame:
     """Forest edges ``(u, v)``, u above v, between distinct fingerprints ``fp`` within ``limit`` bits of each other."""
-    spark = fps.sparkSession
-    count = fps.count()
-    parts = max(1, -(-count // BLOCK))
-    prefix = min(16, max(8, parts.bit_length()))
-    packed, path = staged(
-        fps.select("fp").repartitionByRange(parts, gray_rank(F.col("fp"))).sortWithinPartitions(gray_rank(F.col("fp")))
-        .mapInPandas(blocks(prefix), "block long, mask long, pattern long, fps binary, prefixes array<long>"), "simhash-blocks")
-    about = packed.select("block", "mask", "pattern", F.explode("prefixes").alias("prefix"))
-    flip = F.explode(F.array(*[F.lit(x) for x in flips(prefix, min(limit, prefix))]))
-    wanted = about.select(F.col("block").alias("a"), F.col("mask").alias("mask_a"), F.col("pattern").alias("form_a"),
-                          "prefix", flip.alias("flip"))
-    wanted = wanted.select("a", "mask_a", "form_a", F.col("prefix").bitwiseXOR(F.col("flip")).alias("prefix")).distinct()
-    differing = F.bit_count(F.col("form_a").bitwiseXOR(F.col("pattern")).bitwiseAND(F.col("mask_a")).bitwiseAND(F.col("mask")))
-    pairs = (wanted.join(about.withColumnRenamed("block", "b"), "prefix")
-             .where((F.col("a") <= F.col("b")) & (differing <= limit)).select("a", "b").distinct())
-    side = packed.select("block", "fps")
-    both = (pairs.join(side.select(F.col("block").alias("a"), F.col("fps").alias("left")), "a")
-            .join(side.select(F.col("block").alias("b"), F.col("fps").alias("right")), "b"))
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        u, v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for row in rows.itertuples():
-            left, right = np.frombuffer(row.left, np.uint64), np.frombuffer(row.right, np.uint64)
-            same = row.a == row.b
-            label = search(left, right, same, limit).label
-            every = left if same else np.concatenate([left, right])
-            tree = np.flatnonzero(label != np.arange(len(label)))
-            one, other = every[tree].view(np.int64), every[label[tree]].view(np.int64)
-            u.append(np.maximum(one, other))
-            v.append(np.minimum(one, other))
-        return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
-
-    found, edges_path = staged(both.groupBy("b", "a").applyInPandas(compare, "u long, v long").where("u > v"), "simhash-links")
-    drop_stage(spark, path)
+    if not 0 <= limit <= MOST_BITS:
+        raise ValueError(f"the bit distance must lie between 0 and {MOST_BITS}")
+    spark, found, old, masks = fps.sparkSession, None, [], [0]
+    rows, node = fps.select("fp", F.lit(0).cast("long").alias("mask")), ["mask", "pattern"]
+    while masks:
+        # Few rows: the masks of a level follow from the limit alone, (limit + 1) ** level at most.
+        tree = spark.createDataFrame([(signed(m), signed(c)) for m in masks for c in parts_of(m, limit + 1)], "mask long, child long")
+        rows = rows.join(F.broadcast(tree), "mask").select("fp", F.col("child").alias("mask"))
+        rows = rows.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
+        large, path = staged(rows.groupBy(node).count().where(F.col("count") > GROUP).select(node), "simhash-large")
+        old.append(path)
+        masks = [r["mask"] % 2 ** 64 for r in large.select("mask").distinct().collect()]
+        small = rows.join(large, node, "left_anti") if masks else rows
+        edges, _ = staged(searched(small, limit), "simhash-links")
+        found = edges if found is None else found.unionByName(edges)
+        if masks:
+            rows, path = staged(rows.join(large, node, "left_semi").select("fp", "mask"), "simhash-rows")
+            old.append(path)
+    for path in old:
+        drop_stage(spark, path)
     return found
 
 
@@ -261,7 +280,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3, tex
     """One row per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
 
     Fingerprints link at ``max_bits`` or fewer differing bits; ``component_id`` is the smallest doc_id that links reach.
-    NULL, empty and blank texts have fingerprint zero, linked like any other; fewer words than a shingle are one shingle.
+    ``max_bits`` may be 0 to ``MOST_BITS``. NULL, empty and blank texts have fingerprint zero, linked like any other; fewer words than a shingle are one shingle.
     A repeated row has its fingerprint's component. A NULL doc_id keeps its row and is never a component's id, unless no
     member has an id (then NULL). An empty table gives no rows; other columns are ignored.
     """

@@ -132,6 +132,67 @@ def test_ids_of_other_types(spark):
         assert packing.pack(some, registry.tokenizer_path()).count() == 2
 
 
+def near_prints(n, seed):
+    """Fingerprints of which many lie in chains and dense groups, as signed numbers."""
+    draw, out = random.Random(seed), [0]
+    while len(out) < n:
+        one = draw.getrandbits(64) if draw.random() < 0.4 else out[draw.randrange(len(out))]
+        if draw.random() < 0.3:
+            one &= 2 ** 20 - 1      # a hot part: the upper bits of a third are the same
+        for _ in range(draw.randrange(6)):
+            one ^= 1 << draw.randrange(64)
+        out.append(one)
+    return sorted({v - 2 ** 64 if v >= 2 ** 63 else v for v in out})
+
+
+def brute_roots(prints, limit):
+    at, root = np.array(prints, np.int64).view(np.uint64), list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(at[i + 1:] ^ at[i]) <= limit):
+            a, b = sorted((find(i), find(i + 1 + int(j))))
+            root[b] = a
+    return {p: prints[find(i)] for i, p in enumerate(prints)}
+
+
+@pytest.mark.parametrize("group, limit", [(16384, 3), (300, 3), (300, 0), (64, 1), (16384, 5)])
+def test_nodes_of_any_size(spark, monkeypatch, group, limit):
+    """Upper nodes divided never, once and several times, small and large ones: the components of brute force."""
+    monkeypatch.setattr(simhash, "GROUP", group)
+    monkeypatch.setattr(simhash, "AT_ONCE", 500)
+    prints = near_prints(2500, seed=limit)
+    fps = spark.createDataFrame([(p,) for p in prints], "fp long")
+    got = {r.node: r.root for r in simhash.components(simhash.links(fps, limit)).collect()}
+    want = brute_roots(prints, limit)
+    assert {p: got.get(p, p) for p in prints} == want
+    assert limit == 0 or len(set(want.values())) < len(prints)
+
+
+def test_nodes_cover_every_pair():
+    """Two patterns within the limit share a part wholly, at every level."""
+    for mask in (0, 0xFFFF, 0xFFFF0000FFFF0000, 2 ** 64 - 1 - 0b111111):
+        children = simhash.parts_of(mask, 4)
+        assert all(c & mask == mask for c in children) and len(children) == 4
+        free = [c & ~mask for c in children]
+        assert sum(free) == 2 ** 64 - 1 - mask and all(not x & y for i, x in enumerate(free) for y in free[:i])
+
+
+def test_moved_rows_grow_with_the_input_only(spark, monkeypatch):
+    """Rows sent to the nodes for each fingerprint: the same at four times as many."""
+    sent = []
+    real = simhash.searched
+    monkeypatch.setattr(simhash, "searched", lambda rows, limit: (sent.append(rows.count()), real(rows, limit))[1])
+    for n in (500, 2000):
+        simhash.links(spark.range(n).select(F.xxhash64("id").alias("fp")), 3)
+    assert sent == [2000, 8000]
+
+
 def test_near_duplicates_keep_clashing_columns(spark):
     rows = [(1, "a b c", "x", 1), (2, "a b c", "y", 2), (None, "a b c", "z", 3), (None, "q r s t", "v", 4), (None, "q r s t", "v", 4), (None, None, "w", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp string, root int")
