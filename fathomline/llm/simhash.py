@@ -209,10 +209,11 @@ def links(fps: DataFrame, limit: int) -> DataFrame:
     spark, found, old, masks = fps.sparkSession, None, [], [0]
     rows, node = fps.select("fp", F.lit(0).cast("long").alias("mask")), ["mask", "pattern"]
     while masks:
-        # Few rows: the masks of a level follow from the limit alone, (limit + 1) ** level at most.
-        tree = spark.createDataFrame([(signed(m), signed(c)) for m in masks for c in parts_of(m, limit + 1)], "mask long, child long")
-        rows = rows.join(F.broadcast(tree), "mask").select("fp", F.col("child").alias("mask"))
-        rows = rows.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
+        # The masks of a level follow from the limit alone, (limit + 1) ** level at most.
+        below = F
+        for m in masks:
+            below = below.when(F.col("mask") == signed(m), F.array(*[F.lit(signed(c)).cast("long") for c in parts_of(m, limit + 1)]))
+        rows = rows.select("fp", F.explode(below).alias("mask")).withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
         large, path = staged(rows.groupBy(node).count().where(F.col("count") > GROUP).select(node), "simhash-large")
         old.append(path)
         masks = [r["mask"] % 2 ** 64 for r in large.select("mask").distinct().collect()]
