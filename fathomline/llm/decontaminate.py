@@ -1,13 +1,14 @@
-"""Benchmark decontamination: MinHash containment search for short test items inside long documents, DataFrame only.
+"""Benchmark decontamination: size-partitioned MinHash containment search for short test items in long documents, DataFrame only.
 
 Containment is measured against the item: the share of its distinct shingles that a document has. A document that has at
 least the share t of an item's n shingles misses at most ``n - ceil(t n)`` of them, so of any ``n - ceil(t n) + 1`` it has
-one. Items are partitioned by that size; the sketch of an item is its so many smallest MinHash values, and a document is a
-candidate if it has one of them. However long the document, no item can be missed, unlike with bands of a fixed number of
-rows, whose chance falls with the ratio of sizes. Candidates are verified by exact containment of shingles.
+one. The sketch of an item is its so many smallest MinHash values. Items are partitioned by size (powers of two); a
+partition knows the least number of shingles that one of its items asks for and the greatest value in its sketches.
 
-Documents are not sorted and their shingles not shuffled: a sketch shingle is looked for at its longest word, so words
-are joined to these anchors in the scan, and only where an anchor stands are its neighbours compared.
+The signature of a document is its MinHash values up to the greatest bound of all partitions that it is large enough for:
+a document of N shingles skips the partitions whose items ask for more. Signatures are not cut to a fixed length, so however
+long the document, no item can be missed, unlike with bands of rows, whose chance falls with the ratio of sizes. Values that
+meet in both make a candidate, which is verified by exact containment of shingles.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from fathomline.llm.common import drop_stage, staged
 
 #: Words in a shingle and least containment.
 SHINGLE, LEAST = 5, 0.8
-#: Sketch rows up to which they are broadcast (some 200 bytes each); above it they are joined by a shuffle.
+#: Sketch rows up to which they are broadcast (some 40 bytes each); above it they are joined by a shuffle.
 BROADCAST_ROWS = 100_000
-#: Parts into which a word that is very common is dealt for that shuffle.
+#: Parts into which a value that very many documents share is dealt for that shuffle.
 SALTS = 16
 
 
@@ -37,13 +38,42 @@ def shingles_of(words) -> Column:
     return F.array_distinct(F.when(F.size(words) >= SHINGLE, several).otherwise(F.array().cast("array<string>")))
 
 
+def minhash(words) -> Column:
+    """MinHash value of a shingle given as a list of words."""
+    return F.xxhash64(words)
+
+
 def sketches(items: DataFrame, least: float, text: str) -> DataFrame:
-    """``item_id, words`` for the shingles of each item's sketch: as many smallest hash values as its size asks for."""
+    """``item_id, part, need, value``: an item's smallest MinHash values, as many as its size asks for; its partition by size and
+    the number of shingles that a document must have of it."""
     listed = items.select("item_id", F.explode(shingles_of(words_of(F.col(text)))).alias("shingle")).distinct()
-    whole = listed.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("shingle").alias("hash"), "shingle"))).alias("all"))
+    values = listed.select("item_id", minhash(F.split("shingle", " ")).alias("value"))
+    whole = values.groupBy("item_id").agg(F.array_sort(F.collect_list("value")).alias("all"))
     size = F.size("all")
-    kept = F.slice("all", F.lit(1), (size - F.ceil(size * F.lit(least)) + 1).cast("int"))
-    return whole.select("item_id", F.explode(kept).alias("one")).select("item_id", F.split("one.shingle", " ").alias("words"))
+    need = F.ceil(size * F.lit(least))
+    kept = F.slice("all", F.lit(1), (size - need + 1).cast("int"))
+    return whole.select("item_id", F.floor(F.log2(size)).cast("int").alias("part"), need.cast("long").alias("need"), F.explode(kept).alias("value"))
+
+
+def partitions(sketch: DataFrame) -> list[tuple[int, int]]:
+    """``(least need, greatest sketch value)`` of each partition by size; sizes are powers of two, so there are 31 at most."""
+    rows = sketch.groupBy("part").agg(F.min("need").alias("need"), F.max("value").alias("bound")).collect()
+    return sorted((r["need"], r["bound"]) for r in rows)
+
+
+def signature(words, parts: list[tuple[int, int]]) -> Column:
+    """The MinHash values of a document up to the bound of the partitions it is large enough for; none where there are none."""
+    places = F.size(words) - (SHINGLE - 1)
+    limit, bound = F.lit(None).cast("bigint"), None
+    for need, top in parts:
+        # From the smallest items up: the last partition that the document is large enough for decides.
+        bound = top if bound is None else max(bound, top)
+        limit = F.when(places >= max(need, 1), F.lit(bound)).otherwise(limit)
+    none = F.array().cast("array<bigint>")
+    if bound is None:
+        return none
+    values = F.transform(F.sequence(F.lit(1), places), lambda i: minhash(F.slice(words, i, SHINGLE)))
+    return F.when(places >= max(parts[0][0], 1), F.array_distinct(F.filter(values, lambda v: v <= limit))).otherwise(none)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST, text: str = "text", item_text: str = "text") -> DataFrame:
@@ -56,22 +86,19 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST, text:
     named = docs.where("doc_id is not null").select("doc_id", words_of(F.col(text)).alias("words"))
     items = items.where("item_id is not null").select("item_id", F.col(item_text).alias("item_text"))
     sketch, sketch_path = staged(sketches(items, least, "item_text"), "decontaminate-sketch")
-    longest = F.array_max(F.transform("words", lambda w, i: F.struct(F.length(w).alias("n"), (-i).alias("back"))))
-    anchor = sketch.select("item_id", F.col("words").alias("wanted"), (-longest["back"]).alias("shift"))
-    anchor = anchor.groupBy(F.element_at("wanted", F.col("shift") + 1).alias("word"), "wanted", "shift").agg(F.collect_set("item_id").alias("item_ids"))
+    parts = partitions(sketch)
     small = sketch.count() <= BROADCAST_ROWS
-    spots = named.where(F.size("words") >= SHINGLE).select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
-    start = F.col("pos") - F.col("shift") + 1
+    signed = named.select("doc_id", (F.size("words") - (SHINGLE - 1)).alias("places"), signature(F.col("words"), parts).alias("values"))
+    marks = signed.select("doc_id", "places", F.explode("values").alias("value"))
+    asked = sketch.select("item_id", "need", "value")
     if small:
-        met = spots.join(F.broadcast(anchor), "word").where((start >= 1) & (F.slice("words", F.greatest(start, F.lit(1)), SHINGLE) == F.col("wanted")))
+        met = marks.join(F.broadcast(asked), "value")
     else:
-        # Only the words around a place travel; a word's places are dealt over several parts, the anchors copied to each.
-        near = spots.select("doc_id", "pos", "word", F.slice("words", F.greatest(F.col("pos") - SHINGLE + 2, F.lit(1)), 2 * SHINGLE - 1).alias("near"),
-                            F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).alias("salt"))
-        dealt = anchor.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-        first = F.greatest(F.col("pos") - SHINGLE + 2, F.lit(1))
-        met = near.join(dealt, ["word", "salt"]).where((start >= 1) & (F.slice("near", F.greatest(start - first + 1, F.lit(1)), SHINGLE) == F.col("wanted")))
-    candidates, candidate_path = staged(met.select("doc_id", F.explode("item_ids").alias("item_id")).distinct(), "decontaminate-candidates")
+        # A passage that many documents share: its values are dealt over several parts, the sketches copied to each.
+        dealt = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+        met = marks.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).join(dealt, ["value", "salt"])
+    met = met.where(F.col("places") >= F.col("need")).select("doc_id", "item_id").distinct()
+    candidates, candidate_path = staged(met, "decontaminate-candidates")
     shingles = items.select("item_id", F.explode(shingles_of(words_of(F.col("item_text")))).alias("shingle")).distinct()
     whole = shingles.groupBy("item_id").agg(F.collect_list("shingle").alias("item_shingles"))
     # Candidate documents only: their shingles are made once a document, then held against each of its items.
