@@ -3,10 +3,14 @@
 import base64
 import hashlib
 import html
+import itertools
+import math
+import random
 import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 import xxhash
 
@@ -97,6 +101,36 @@ def test_decontamination_shuffled_form(spark, monkeypatch):
     assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, items).collect()) == [2, 3]
 
 
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_no_item_of_any_size_is_missed(spark, monkeypatch, limit):
+    """Items of every size from 5 to 200 words, as parts of long and of just long enough documents, some words changed."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    items = {n: [rnd.choice(words) for _ in range(n)] for n in [5, 6, 7, 8, 9, 12, 15, 16, 17, 31, 32, 33, 64, 100, 200]}
+    docs = {}
+    for n, own in items.items():
+        docs[len(docs)] = own
+        docs[len(docs)] = own[:-1]
+        docs[len(docs)] = [rnd.choice(words) for _ in range(300)] + own + [rnd.choice(words) for _ in range(2000)]
+        docs[len(docs)] = [w if rnd.random() > 0.04 else "new" for w in own]
+        docs[len(docs)] = own[n // 2:] + ["break"] + own[:n // 2 + 4]
+
+    def shingles(ws):
+        return {tuple(ws[i:i + 5]) for i in range(len(ws) - 4)}
+
+    want = set()
+    for d, text in docs.items():
+        for n, own in items.items():
+            every = shingles(own)
+            share = len(shingles(text) & every)
+            if share and share >= math.ceil(len(every) * 0.8):
+                want.add((d, n, share, len(every)))
+    got = decontaminate.contaminated(spark.createDataFrame([(d, " ".join(t)) for d, t in docs.items()], "doc_id long, text string"),
+                                     spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string"))
+    assert {tuple(r)[:4] for r in got.collect()} == want and len(want) > 30
+
+
 def test_licences(spark, odd):
     texts = ["This is under the MIT license: yes", "Apache License Version 2, and cc by nc", "", None, "nothing of it"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
@@ -108,6 +142,105 @@ def test_licences(spark, odd):
     assert licences.licences(odd).count() == len(ODD)
 
 
+def backtrack(parts, words, at):
+    """Whether a template, as a list of words, (optional parts) and counts of free words, matches at a place: by trying all ways."""
+    if not parts:
+        return True
+    head, rest = parts[0], parts[1:]
+    if isinstance(head, int):
+        return any(backtrack(rest, words, at + n) for n in range(head + 1) if at + n <= len(words))
+    if isinstance(head, tuple):
+        return backtrack([*head, *rest], words, at) or backtrack(rest, words, at)
+    return at < len(words) and words[at] == head and backtrack(rest, words, at + 1)
+
+
+def written(parts):
+    return " ".join(f"[[{p}]]" if isinstance(p, int) else "{{" + written(p) + "}}" if isinstance(p, tuple) else p for p in parts)
+
+
+def test_automata_equal_backtracking():
+    rnd = random.Random(5)
+    for _ in range(150):
+        parts = ["a"]
+        for _ in range(rnd.randint(1, 6)):
+            parts.append(rnd.choice(["a", "b", "c", rnd.randint(1, 3), ("b",), ("a", 2, "c"), ("c", ("a",), "b")]))
+        parts.append(rnd.choice("abc"))
+        automaton = licences.Automaton("x", written(parts))
+        for _ in range(20):
+            words = [rnd.choice("abc") for _ in range(rnd.randint(0, 14))]
+            for at in range(len(words)):
+                assert automaton.accepts([w.encode() for w in words], at) == backtrack(parts, words, at), (parts, words, at)
+
+
+def filled(template, optional, free):
+    """The wording of a template with its optional regions in or out and its replaceable ones filled."""
+    text = re.sub(r"\[\[(\d+)\]\]", lambda m: " ".join(["Acme"] * min(free, int(m[1]))), template)
+    return re.sub(r"\{\{(.*?)\}\}", r"\1" if optional else "", text, flags=re.S)
+
+
+@pytest.mark.parametrize(("optional", "free"), [(True, 0), (False, 0), (True, 3), (False, 2)])
+def test_whole_licences_and_a_changed_word(optional, free):
+    for label, template in licences.TEMPLATES:
+        scanner = licences.Scanner(templates=[(label, template)])
+        text = filled(template, optional, free)
+        assert label in scanner.scan("Preamble. " + text + " After it.")[5].split(","), template
+        # One mandatory word changed: the template no longer accepts.
+        fixed = re.sub(r"\{\{.*?\}\}|\[\[\d+\]\]", " | ", template, flags=re.S)
+        longest = max(re.findall(r"[a-z]{4,}", fixed.lower()), key=len)
+        assert scanner.scan(re.sub(longest, "altered", text, flags=re.I))[6] < 1.0, template
+
+
+def test_base_columns_of_licences_equal_a_plain_count(spark, corpus):
+    rows = [(r.doc_id, r.text) for r in corpus["documents"].collect()]
+    more = ["Under the MIT License, under the mit LICENSE", "cc by nc cc-by-nc", "\u212a cc by nc", "under the mit licenses", "apache license version 2.0"]
+    rows += [(-1 - i, t) for i, t in enumerate(more)]
+    got = {r.doc_id: r for r in licences.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+        at = [(k, label) for p, label in licences.PHRASES.items() for k in range(len(words)) if words[k:k + len(p.split())] == p.split()]
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (
+            len(words), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at})))
+        assert {x for _, x in at} <= {x for x in r.labels.split(",") if x} and 0 <= r.score <= 1
+
+
+def test_marginals_equal_the_sum_over_all_label_paths():
+    rnd = np.random.default_rng(4)
+    for n in (1, 2, 5, 9):
+        emit, trans = rnd.normal(0, 2, n), rnd.normal(0, 1, (2, 2))
+        total, ones, pairs = 0.0, np.zeros(n), np.zeros((2, 2))
+        cut = np.concatenate([[-np.inf], emit, [-np.inf]])          # texts stand between forced zeros
+        for path in itertools.product((0, 1), repeat=n):
+            full = (0, *path, 0)
+            weight = math.exp(sum(e for e, s in zip(emit, path) if s) + sum(trans[a, b] for a, b in zip(full, full[1:])))
+            total += weight
+            ones += weight * np.array(path)
+            for a, b in zip(full, full[1:]):
+                pairs[a, b] += weight
+        p, ahead, behind, e = toxicity.marginals(cut, trans)
+        assert np.allclose(p[1:-1], ones / total) and p[0] == p[-1] == 0
+        assert np.allclose(toxicity.pair_sums(ahead, behind, e, trans, np.ones(n + 2)), pairs / total)
+
+
+def test_texts_in_a_row_are_tagged_as_alone():
+    model = (np.random.default_rng(1).normal(0, 1, toxicity.BUCKETS), np.array([[0.2, -1.0], [-0.5, 0.8]]), -0.4, None)
+    texts = ["one two three", "", "İ four " * 90, "x", "five " * 200]
+    tagger = toxicity.Tagger(model)
+    for alone, together in zip([tagger.marginals([t])[0] for t in texts], tagger.marginals(texts), strict=True):
+        assert np.allclose(alone, together)
+    spans = tagger.score(["aa bb  cc"])[1][0]
+    assert all("aa bb  cc"[a:b] in ("aa", "bb", "cc") for a, b in spans)
+
+
+def test_quality_verdict_held_out(spark, sf_dir):
+    larger = sf_dir.replace("sf0.001", "sf0.01")
+    got = registry.op10_quality(spark, larger).where("not base_failed").toPandas()
+    labels = spark.read.parquet(f"{larger}/labels.parquet").selectExpr("doc_id", "quality AS truth").dropna().toPandas()
+    both = got[[zlib.crc32(str(i).encode()) % 3 == 1 for i in got.doc_id]].merge(labels, on="doc_id")
+    assert len(both) > 50 and (both.kept == (both.truth == 1)).mean() > 0.9
+
+
 def test_packing_and_counts_equal_the_library(odd):
     path = registry.tokenizer_path()
     library = tokenizers.Tokenizer.from_file(path)
@@ -272,6 +405,43 @@ def test_mixture_keeps_every_document(corpus, empty):
     assert mixing.mixture(empty, max_repeat=1.5).count() == 0
 
 
+@pytest.mark.parametrize("how", [{"max_repeat": 1.5}, {"max_repeat": 3.0}, {"target_entropy": 1.2}, {"target_entropy": 0.9, "budget": 700.0}])
+def test_mixture_equals_a_plain_plan(spark, how):
+    rnd = random.Random(8)
+    texts = [(i, rnd.choice(["hot"] * 6 + ["b", "b", "c", None]), "w " * rnd.randint(0, 9)) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, source string, text string")
+    totals = {}
+    for _, source, text in texts:
+        totals[source] = totals.get(source, 0) + len(text.split())
+    every, budget = sum(totals.values()), how.get("budget")
+    shares = {s: n / every for s, n in totals.items()}
+
+    def weights(x):
+        powers = {s: v ** x for s, v in shares.items()}
+        return {s: p / sum(powers.values()) for s, p in powers.items()}
+
+    def good(x):
+        w = weights(x)
+        if "max_repeat" in how:
+            ratios = [w[s] / shares[s] for s in w]
+            return max(ratios) / min(ratios) <= how["max_repeat"]
+        return -sum(v * math.log(v) for v in w.values()) >= how["target_entropy"]
+
+    grid = [i / 20_000 for i in range(20_001)]
+    exponent = min(x for x in grid if good(x)) if "max_repeat" in how else max([x for x in grid if good(x)], default=0.0)
+    w = weights(exponent)
+    budget = budget or max(totals[s] / w[s] for s in w)
+    got = mixing.mixture(docs, **how).toPandas()
+    longest = 9
+    for s, n in totals.items():
+        taken = got[got.source.isna()] if s is None else got[got.source == s]
+        # Whole documents: short of the budget by less than one document of the last block.
+        assert w[s] * budget - longest - 0.002 * budget <= taken.n_tokens.sum() <= w[s] * budget * 1.002, (s, n)
+        times = taken[taken.n_tokens > 0].groupby("doc_id").size()
+        assert times.empty or times.max() - times.reindex([i for i, o, t in texts if o == s and t], fill_value=0).min() <= 1
+    assert all(len(own) == own.doc_id.nunique() for _, own in got.fillna({"source": "-"}).groupby(["source", "epoch"]))
+
+
 def test_empty_tables(spark, empty, labels, corpus):
     path = registry.tokenizer_path()
     made = (simhash.simhash_components(empty), simhash.simhash_dedup(empty), decontaminate.contaminated(empty, corpus["benchmark"]),
