@@ -89,7 +89,9 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST, text:
     parts = partitions(sketch)
     small = sketch.count() <= BROADCAST_ROWS
     signed = named.select("doc_id", (F.size("words") - (SHINGLE - 1)).alias("places"), signature(F.col("words"), parts).alias("values"))
-    marks = signed.select("doc_id", "places", F.explode("values").alias("value"))
+    # With explode, a filter on the values' size would be inferred and moved below, where it splits the text again for every
+    # word; the NULL that explode_outer makes of an empty signature meets nothing.
+    marks = signed.select("doc_id", "places", F.explode_outer("values").alias("value"))
     asked = sketch.select("item_id", "need", "value")
     if small:
         met = marks.join(F.broadcast(asked), "value")
