@@ -5,12 +5,10 @@ letters beyond ASCII, extensions come in both cases, Exo files are UTF-16 of eit
 blank line, and a few files hold nothing a reader takes.
 """
 
-from urllib.parse import unquote
-
 from pyspark.sql import functions as F
 
 from fathomline import fixtures
-from fathomline.storage import stage_path
+from fathomline.storage import save_named_files, stage_path
 
 LITTLE, BIG = "UTF-16LE", "UTF-16BE"
 
@@ -77,10 +75,7 @@ def _unit_lists(suppliers):
 
 
 def write_raw_tree(spark, sf_dir, idronaut, seabird, rbr, exo, gf23, activity):
-    """Write the files; the arguments are the lines of each instrument and the rows of the log. Returns the folder.
-
-    Spark writes a folder per file; the parts then get their names with one rename each, which is all the driver does.
-    """
+    """Write the files; the arguments are the lines of each instrument and the rows of the log. Returns the folder."""
     broken = idronaut.withColumn("line", F.when((_number("path") % 3 == 0) & (F.col("line_no") == 9), F.concat(
         "line", F.lit("\n"))).otherwise(F.col("line")))
     odd = spark.createDataFrame([("north field/suboceanexperiment_1.txt", 0, "x"), ("süd 2/exo/KOR empty.csv", 0, "only a preamble"),
@@ -92,13 +87,5 @@ def write_raw_tree(spark, sf_dir, idronaut, seabird, rbr, exo, gf23, activity):
     for more in parts[1:]:
         rows = rows.unionByName(more)
     root = stage_path(spark, "raw-files")
-    rows.repartition("file").sortWithinPartitions("file", "line_no").select("value", "file").write.partitionBy("file").text(f"{root}-parts")
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    store = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in store.listStatus(path(f"{root}-parts")):
-        if folder.isDirectory():
-            target = path(root, unquote(folder.getPath().getName().removeprefix("file=")))
-            store.mkdirs(target.getParent())
-            store.rename(store.listStatus(folder.getPath())[0].getPath(), target)
-    store.delete(path(f"{root}-parts"), True)
+    save_named_files(rows, root)
     return root
