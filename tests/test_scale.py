@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from fathomline.operators import sequence, stations
+from fathomline.operators import layers, sequence, stations
 from fathomline.session import tune
 from fathomline.storage import recorded, save_named_files, stage_path
 
@@ -82,3 +82,13 @@ def test_named_files_are_written_by_tasks_whole_and_in_order(spark):
     assert got["süd 2/long.txt"] == "".join(f"{'' if i == 5 else i}\n" for i in range(24_999, -1, -1))
     assert got["north/a b/1.CSV"].startswith("29998\n") is (29_998 % 3 == 1)
     assert not os.path.exists(f"{place}-parts")
+
+
+def test_n2_meets_its_scans_in_one_shuffle_by_cast(spark):
+    rows = spark.createDataFrame([("a", 0, 1.0), ("a", 0, 2.0), ("a", 1, 3.0), ("b", 0, 4.0), (None, 0, 5.0)], "cast_id string, scan bigint, v double")
+    n2 = spark.createDataFrame([("a", 0, 0.5), ("b", 1, 0.7), (None, 0, 0.9)], "cast_id string, scan bigint, N2 double")
+    got = layers.with_n2(rows, n2, size=None)
+    want = layers.with_n2(rows, n2)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(cast_id" in plan and not any("hashpartitioning" in line and "scan#" in line for line in plan.splitlines())
