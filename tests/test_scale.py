@@ -4,8 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from fathomline.operators import layers, sequence, stations
+from fathomline.operators import export, layers, sequence, stations
+from fathomline.plans import jobs
 from fathomline.session import tune
+from fathomline.sources import tables
 from fathomline.storage import recorded, save_named_files, stage_path
 
 
@@ -92,3 +94,27 @@ def test_n2_meets_its_scans_in_one_shuffle_by_cast(spark):
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(cast_id" in plan and not any("hashpartitioning" in line and "scan#" in line for line in plan.splitlines())
+
+
+def test_layout_of_many_profiles_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(6000).selectExpr("concat('a:b ', id % 300) cast_id", "id scan", "id * 1D pressure_dbar", "nullif(id, 7) * 1D temperature_C",
+                                        "30D salinity_psu", "90D oxygen_saturation_percent")
+    rows = rows.selectExpr("if(scan = 11, null, cast_id) cast_id", "* except (cast_id)").withColumn("clock", F.expr("timestamp_ntz'2024-07-03 08:00:00'"))
+    seen = []
+    write = tables.save_sorted_files
+    try:
+        tables.save_sorted_files = lambda lines, *more: (seen.append(lines.rdd.getNumPartitions()), write(lines, *more))
+        out = str(tmp_path / "clock")
+        tables.write_layout(export.a2ps_clock(rows, clock="clock"), out, sort="scan", keep_sort=False, file_bytes=8 * 8 * 6000)
+    finally:
+        tables.save_sorted_files = write
+    assert seen[0] > 4
+    names = {p.name for p in (tmp_path / "clock").iterdir()}
+    assert {"file=a%3Ab 0_formatted", "file=__HIVE_DEFAULT_PARTITION__"} <= names and len(names) == 301
+    assert not [p for p in tmp_path.iterdir() if p.name != "clock"]
+    text = next((tmp_path / "clock" / "file=a%3Ab 7_formatted").glob("part-*.asc")).read_text().splitlines()
+    assert text[:2] == ["Tv2C\tSal2\tSbeox2PS\tPrdE\thh:mm:ss\tmm/dd/yyyy", f"\t30.0\t90.0\t{7 * 1.45038}\t08:00:00\t07/03/2024"]
+    got = tables.read_layout(spark, out).groupBy("file").agg(F.count("*").alias("n"), F.max("row_no").alias("last")).collect()
+    assert sum(r.n for r in got) == 6000 and all(r.last == r.n - 1 for r in got)
+    tables.write_layout(export.a2ps_clock(rows.where("false"), clock="clock"), out, sort="scan", keep_sort=False)
+    assert tables.read_layout(spark, out).count() == 0
