@@ -118,3 +118,34 @@ def test_layout_of_many_profiles_is_written_by_many_tasks(spark, tmp_path):
     assert sum(r.n for r in got) == 6000 and all(r.last == r.n - 1 for r in got)
     tables.write_layout(export.a2ps_clock(rows.where("false"), clock="clock"), out, sort="scan", keep_sort=False)
     assert tables.read_layout(spark, out).count() == 0
+
+
+def test_process_casts_shuffles_whole_rows_once(spark):
+    rows = spark.range(4000).selectExpr(
+        "if(id % 8 = 7, null, concat('c', id % 8)) cast_id", "id div 8 scan", "'exo' ctd_type", "(id div 8) * 0.5D pressure_dbar", "9D - (id div 8) * 0.01D temperature_C",
+        "2600D conductivity_mS_per_m", "30D + (id div 8) * 0.01D salinity_psu", "90D oxygen_saturation_percent", "1D PAR_umol_m2_s", "8D ph",
+        "timestamp_ntz'2024-07-03 08:00:00' datetime", "cast(null as timestamp_ntz) timestamp")
+    done = jobs.process_casts(rows, size=None)
+    assert "Exchange hash" not in done._jdf.queryExecution().executedPlan().toString()
+    chunked = jobs.process_casts(rows, size=64)
+    assert done.columns == chunked.columns
+
+    def plain(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+
+    # Beyond the size of a task casts are joined to their statistics, which drops rows without a cast.
+    assert done.where("cast_id is null and N2 is null").count() == 500
+    assert plain(done.where("cast_id is not null")) == plain(chunked)
+    assert done.where("N2 is not null").select("cast_id").distinct().count() == 7
+
+
+def test_a_task_reads_a_bounded_part_of_a_table(spark):
+    path = stage_path(spark, "wide")
+    tune(spark)
+    spark.range(3_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b")).coalesce(1).write.parquet(path)
+    try:
+        # As on a table so large that the cores alone do not divide it.
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert spark.read.parquet(path).rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
