@@ -1,14 +1,23 @@
 """Finding files, telling instruments apart, and reading text as numbered lines."""
 
+import re
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from fathomline.functions.text import base_name, directory, extension, stem
 from fathomline.operators.sequence import CHUNK, running_sum
-from fathomline.storage import save_stage
+from fathomline.storage import list_tree, place_of, save_stage
 
 # Extensions that may hold casts.
 CAST_EXTENSIONS = (".cnv", ".txt", ".csv")
+# Files up to this size are read whole, by the task that numbers their lines; longer ones in byte ranges by many tasks.
+WHOLE_BYTES = 16 << 20
+# What a task reads of such files, and what opening one counts for.
+TASK_BYTES, OPEN_BYTES = 16 << 20, 32 << 10
 # First bytes of UTF-16 text: the byte order mark of either order.
 LITTLE, BIG = "UTF-16LE", "UTF-16BE"
 
@@ -36,8 +45,7 @@ def any_case_glob(extensions):
 
 def file_manifest(spark, directory_path, extensions=CAST_EXTENSIONS, recursive=True):
     """``(path, modificationTime, length)``; file contents are never read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(directory_path)
-    return with_extensions(files.select("path", "modificationTime", "length"), extensions)
+    return with_extensions(list_tree(spark, directory_path, recursive), extensions)
 
 
 def classify(files):
@@ -95,7 +103,90 @@ def read_lines(spark, paths):
 
 def tree_lines(spark, root, extensions=CAST_EXTENSIONS):
     """Lines of every file with those extensions, in any case, under a folder: one scan for all of them."""
-    return numbered_lines(text_scan(spark, root, any_case_glob(extensions)))
+    return file_lines(file_manifest(spark, root, extensions))
+
+
+def file_lines(listing, keep=(), whole_bytes=WHOLE_BYTES):
+    """``(path, modified, *keep, line_no, row_no, line)`` of the files of a listing (``file_manifest``), as a stage table.
+
+    ``keep`` names columns of the listing that its lines carry; lines that have them in common lie together. A file of up to
+    ``whole_bytes`` is read by one task, which then knows its encoding and its lines' numbers; what is longer is read as
+    ``numbered_lines`` of byte ranges.
+    """
+    spark = listing.sparkSession
+    n, size, longest = listing.agg(F.count("*"), F.sum("length"), F.max("length")).first()
+    tasks = max(1, -(-((size or 0) + n * OPEN_BYTES) // TASK_BYTES))
+    small = listing.where(F.col("length") <= whole_bytes).select("path", F.col("modificationTime").alias("modified"), *keep)
+    small = small.repartitionByRange(tasks, *keep, "path").sortWithinPartitions(*keep, "path")
+    shape = ", ".join([*(f"`{c}` {t}" for c, t in small.dtypes), "line_no bigint", "row_no bigint", "line string"])
+    lines = small.mapInArrow(_whole_files, shape)
+    if (longest or 0) > whole_bytes:
+        large = listing.where(F.col("length") > whole_bytes).select("path", *keep)
+        paths = [re.sub(r"([{}\[\]*?\\])", r"\\\1", r.path) for r in large.select("path").collect()]
+        lines = lines.unionByName(numbered_lines(text_scan(spark, paths)).join(large, "path"))
+    return save_stage(lines, "lines")
+
+
+def _whole_files(batches):
+    """The lines of whole files, ``path`` and what else a row of the listing holds before them."""
+    for batch in batches:
+        held, at, size = [], [], 0
+        for i, path in enumerate(batch.column("path").to_pylist()):
+            store, place = place_of(path)
+            with store.open_input_file(place) as file:
+                data = file.read()
+            held.append(_text_lines(data))
+            at.append(i)
+            size += len(data)
+            if size >= 4 << 20:
+                yield _with_files(batch, at, held)
+                held, at, size = [], [], 0
+        if held:
+            yield _with_files(batch, at, held)
+
+
+def _with_files(batch, at, held):
+    counts = [len(lines) for lines, _ in held]
+    which = pa.array(np.repeat(at, counts))
+    blanks = [np.asarray(b) for _, b in held]
+    line_no = [np.arange(n) for n in counts]
+    row_no = [no - np.cumsum(b) + b for no, b in zip(line_no, blanks)]
+    columns = [c.take(which) for c in batch.columns]
+    return pa.RecordBatch.from_arrays([
+        *columns, pa.array(np.concatenate(line_no).astype(np.int64)), pa.array(np.concatenate(row_no).astype(np.int64)),
+        pa.concat_arrays([lines for lines, _ in held])], [*batch.schema.names, "line_no", "row_no", "line"])
+
+
+def _text_lines(data):
+    """Lines of a file's bytes, and 1 for each that is blank: as ``numbered_lines`` sees them."""
+    mark = {b"\xff\xfe": "utf-16-le", b"\xfe\xff": "utf-16-be"}.get(data[:2])
+    if mark:
+        # A last byte 0x0A without its half: the end of a line that the other half would have begun.
+        if len(data) % 2:
+            data = data[:-1] if data.endswith(b"\n") else data + b"\n"
+        text, space = data.decode(mark), " \t\x0b\x0c\r\ufeff"
+    else:
+        space = " \t\x0b\x0c\r\x00"
+        try:
+            text = data.decode()
+        except UnicodeDecodeError:
+            text = "\n".join(map(_one_line, data.split(b"\n")))
+    lines = pc.list_flatten(pc.split_pattern(pa.array([text], pa.string()), "\n"))
+    if not lines[-1].as_py():
+        lines = lines[:-1]
+    blank = pc.equal(pc.utf8_length(pc.utf8_trim(lines, space)), 0).cast(pa.int64())
+    for extra in "\r\ufeff":
+        if extra in text:
+            lines = pc.replace_substring(lines, extra, "")
+    return lines, blank
+
+
+def _one_line(record):
+    # Bytes that are no UTF-8 are read as Latin-1, which old logger software writes for the degree and micro signs.
+    try:
+        return record.decode()
+    except UnicodeDecodeError:
+        return record.decode("latin-1")
 
 
 def numbered_lines(scan):
@@ -183,7 +274,8 @@ def csv_records(lines):
     Only files with a line of an odd number of quotes are looked at, and where there is none the lines are returned as they
     are; a quote that is never closed leaves its lines alone.
     """
-    odd = (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2
+    more = [c for c in lines.columns if c not in ("path", "modified", "line_no", "row_no", "line")]
+    odd = F.when(F.contains("line", F.lit('"')), (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2).otherwise(0)
     marked = lines.withColumn("_odd", odd.cast("bigint"))
     open_files = marked.where("_odd = 1").groupBy("path").agg(
         F.max("line_no").alias("_last"), (F.count("*") % 2 == 1).alias("_unclosed")).select(
@@ -198,12 +290,12 @@ def csv_records(lines):
     some = some.withColumn("_opens", ((F.col("_upto") - F.col("_odd")) % 2 == 0).cast("bigint"))
     some = running_sum(some, ["path"], "line_no", "_opens", "_record", CHUNK)
     joined = some.groupBy("path", "_record").agg(
-        F.max("modified").alias("modified"), F.min("line_no").alias("line_no"),
+        F.max("modified").alias("modified"), *[F.max(c).alias(c) for c in more], F.min("line_no").alias("line_no"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda e: e["line"]), "\n").alias("line"))
     joined = joined.withColumn("_full", (F.trim("line") != "").cast("bigint"))
     joined = running_sum(joined, ["path"], "line_no", "_full", "_rows", CHUNK)
     return plain.unionByName(joined.select(
-        "path", "modified", "line_no", (F.col("_rows") - F.col("_full")).alias("row_no"), "line"))
+        "path", "modified", *more, "line_no", (F.col("_rows") - F.col("_full")).alias("row_no"), "line"))
 
 
 def csv_cells(line):

@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from fathomline.functions import text as texts
 from fathomline.operators import export, stations
 from fathomline.plans import jobs
 from fathomline.sources import files, instruments, tables
@@ -217,3 +218,60 @@ def test_station_sink_overwrites_only_its_stations(spark, tmp_path):
     tables.write_stations(make([("c", "A", "z", 2)]), out)
     got = sorted((r.Station, r.cast_id) for r in spark.read.parquet(out).collect())
     assert got == [("A", "z"), ("B", "y")]
+
+
+def scattered(path, n=300):
+    """Files of several folders and encodings, some with blank lines."""
+    for i in range(n):
+        folder = path / f"f {i % 7}" / f"é{i % 3}"
+        folder.mkdir(parents=True, exist_ok=True)
+        text = f"﻿a,{i}\r\n\r\nb°\n \nlast"
+        data = text.encode("utf-8") if i % 4 else text.encode(("utf-16-le", "utf-16-be")[i // 4 % 2])
+        (folder / (f"n{i}.TXT" if i % 2 else f"n[{i}]%20.csv")).write_bytes(data if i % 5 else data[:-1])
+    (path / "f 1" / "_skipped").mkdir()
+    (path / "f 1" / "_skipped" / "x.csv").write_text("x\n")
+    (path / "f 1" / ".x.csv.crc").write_text("x\n")
+    (path / "f 1" / "empty.csv").write_text("")
+    (path / "f 1" / "latin.csv").write_bytes(b"4 \xb0C\n\x00\nok \xc2\xb0\n\n")
+
+
+def test_tree_is_listed_by_tasks(spark, tmp_path):
+    scattered(tmp_path)
+    found = files.file_manifest(spark, str(tmp_path))
+    # Spark's own readers list files on the driver; only the tables that the tasks wrote are read here.
+    assert all("/listing-" in f for f in found.inputFiles())
+    want = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path)).select("path", "modificationTime", "length")
+    assert sorted(found.collect()) == sorted(files.with_extensions(want).collect()) and found.count() == 301
+    assert files.file_manifest(spark, str(tmp_path / "f 1"), recursive=False).count() == 1
+    assert files.file_manifest(spark, str(tmp_path / "f 1" / "*.csv")).count() == 1
+    with pytest.raises(FileNotFoundError):
+        files.file_manifest(spark, str(tmp_path / "none"))
+
+
+def test_whole_files_give_the_lines_of_byte_ranges(spark, tmp_path):
+    scattered(tmp_path)
+    listing = files.file_manifest(spark, str(tmp_path)).withColumn("kind", F.length("path") % 3)
+    want = files.numbered_lines(files.text_scan(spark, str(tmp_path), files.any_case_glob(files.CAST_EXTENSIONS)))
+    want = sorted(want.select("path", "modified", "line_no", "row_no", "line").collect())
+    assert len(want) > 1200
+    for limit in (files.WHOLE_BYTES, 24, 0):
+        got = files.file_lines(listing, ("kind",), limit)
+        assert got.columns == ["path", "modified", "kind", "line_no", "row_no", "line"] and not got.where("kind <> length(path) % 3").count()
+        assert sorted(got.drop("kind").collect()) == want
+
+
+def test_a_line_is_not_classified_again(spark, tree):
+    scans, rejected = jobs.ingest_tree(spark, tree)
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    # What a file is, is a column of the listing: the scans that it meets carry no condition on the path's text.
+    assert "idronaut" not in plan and "binaryFile" not in plan
+
+
+def test_dates_of_a_layout_that_cannot_fit_are_not_tried(spark):
+    found = ["2024-07-03", "2024/7/3", "07-03-2024", "7/3/2024", "07.03.2024", "13-07-2024", "13/07/2024", "13.07.2024", "24-07-03", "2024-13-03",
+             "2024.07.03", "-2024-07-03", "-24-07-03", "+12024-07-03", "+2-7-3", "12024-07-03", "", "x-y/z.w", "7-3", None, " 2024-07-03 "]
+    rows = spark.createDataFrame([(t,) for t in found], "t string")
+    day = F.coalesce(*[F.try_to_date(F.trim("t"), layout) for layout in texts.DATE_LAYOUTS])
+    both = rows.select("t", texts.instant(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.lit("07:08:09"))).cast("string").alias("want"),
+                       texts.clock(F.col("t"), F.lit("07:08:09")).cast("string").alias("got")).collect()
+    assert [r.got for r in both] == [r.want for r in both] and sum(r.got is not None for r in both) >= 9
