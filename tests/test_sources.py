@@ -275,3 +275,40 @@ def test_dates_of_a_layout_that_cannot_fit_are_not_tried(spark):
     both = rows.select("t", texts.instant(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.lit("07:08:09"))).cast("string").alias("want"),
                        texts.clock(F.col("t"), F.lit("07:08:09")).cast("string").alias("got")).collect()
     assert [r.got for r in both] == [r.want for r in both] and sum(r.got is not None for r in both) >= 9
+
+
+def test_csv_profiles_are_written_by_tasks_and_read_back(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("if(id % 40 = 39, null, concat('a:b ', id % 40)) profile_name", "id scan", "if(id = 5, null, id / 3D) x",
+                                        "if(id % 2 = 0, 'say \"é\", x', '') note", "id % 3 = 0 is_downcast")
+    out, plain = str(tmp_path / "tasks"), str(tmp_path / "spark")
+    tables.write_csv_profiles(rows, out)
+    rows.repartition("profile_name").write.partitionBy("profile_name").option("header", True).csv(plain)
+    names = sorted(p.name for p in (tmp_path / "tasks").iterdir())
+    assert names == sorted(p.name for p in (tmp_path / "spark").iterdir() if p.is_dir()) and len(names) == 40
+    assert all(len(list(p.iterdir())) == 1 for p in (tmp_path / "tasks").iterdir())
+    (tmp_path / "tasks" / "profile_name=the Metadata").mkdir()
+    (tmp_path / "tasks" / "profile_name=the Metadata" / "p.csv").write_text("scan\n1\n")
+    (tmp_path / "tasks" / "one.CSV").write_text('note,scan\n"two\nlines",1\n\n')
+    columns = {"scan": "bigint", "x": "double", "note": "string", "is_downcast": "boolean"}
+    got = tables.read_profiles(spark, out, columns)
+    want = [tuple(r) for r in tables.read_profiles(spark, plain, columns).collect()]
+    assert len(want) == 4000 and got.columns == [*columns, "profile_name"]
+    assert sorted(map(str, [tuple(r) for r in got.collect()])) == sorted(map(str, [*want, (1, None, "two\nlines", None, "one")]))
+
+
+def test_layout_is_read_without_the_driver_listing_its_folders(spark, tmp_path):
+    for i in range(120):
+        (tmp_path / f"file=p{i}").mkdir()
+        (tmp_path / f"file=p{i}" / "part-00000.asc").write_text(f"a\tb\n{i}\t\n\n2\tx\n")
+        (tmp_path / f"file=p{i}" / "part-00001.ASC").write_text(f"b\ta\ny\t{i}\n")
+    seen = []
+    read = files.text_scan
+    try:
+        files.text_scan = lambda *more: seen.append(more) or read(*more)
+        rows = tables.read_layout(spark, str(tmp_path))
+        assert not seen and not any(f.lower().endswith(".asc") for f in rows.inputFiles())
+    finally:
+        files.text_scan = read
+    got = sorted((r.file, r.row_no, tuple(sorted(r.cells.items()))) for r in rows.collect())
+    assert got == sorted((f"p{i}", n, c) for i in range(120) for n, c in enumerate(
+        [(("a", str(i)), ("b", "")), (("a", "2"), ("b", "x")), (("a", str(i)), ("b", "y"))]))
