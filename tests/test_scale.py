@@ -149,3 +149,54 @@ def test_a_task_reads_a_bounded_part_of_a_table(spark):
         assert spark.read.parquet(path).rdd.getNumPartitions() > 2
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_casts_are_dealt_into_buckets_in_order(spark):
+    casts = spark.range(500).selectExpr("if(id = 7, null, concat('c', id)) cast_id", "concat('f', id % 3) campaign", "id % 11 + 1 _held")
+    keys, n = sequence.deal_keys(casts, ["campaign"], rows=100)
+    rows = keys.join(casts, "cast_id").select("*", F.expr(f"pmod(hash(_deal), {n})").alias("bucket")).orderBy("campaign", "cast_id").collect()
+    assert len(rows) == 499 == len({r._deal for r in rows})
+    held = {}
+    for r in rows:
+        held.setdefault(r.bucket, []).append(r._held)
+    # Casts of a bucket follow each other, buckets hold about as many rows, and none is empty.
+    buckets = [r.bucket for r in rows]
+    assert sum(a != b for a, b in zip(buckets, buckets[1:])) == n - 1 == len(held) - 1 and all(sum(h) <= 111 for h in held.values())
+    assert sequence.deal_keys(casts.where("false"), ["campaign"])[1] == 1
+
+
+def test_sink_moves_scans_once(spark, tmp_path):
+    rows = spark.range(24_000).selectExpr(
+        "if(id % 60 = 59, null, concat('c', id % 60)) cast_id", "id div 60 scan", "if(id % 60 < 9, 'seabird', 'exo') ctd_type", "if(id div 60 < 4, 0.4D, (id div 60) * 0.5D) pressure_dbar",
+        "9D - (id div 60) * 0.01D temperature_C", "if(id div 60 < 4 or id % 60 = 5, 0.1D, 2600D) conductivity_mS_per_m", "30D + (id div 60) * 0.01D salinity_psu",
+        "90D oxygen_saturation_percent", "1D PAR_umol_m2_s", "8D ph", "timestamp_ntz'2024-07-03 08:00:00' datetime", "cast(null as timestamp_ntz) timestamp")
+    # One cast without an entry, one with two in two folders, and an entry without a cast.
+    entries = spark.range(62).where("id <> 3").selectExpr("concat('c', id) cast_id", "concat('f', id % 4) campaign", "id Station").unionByName(
+        spark.createDataFrame([("c8", "f3", 99)], "cast_id string, campaign string, Station bigint"))
+    old = sequence.BUCKET_ROWS
+    try:
+        sequence.BUCKET_ROWS = 2000
+        done = jobs.process_for_sink(rows, entries, ["campaign"])
+    finally:
+        sequence.BUCKET_ROWS = old
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "Exchange range" not in plan
+    out = str(tmp_path / "level2")
+    tables.write_profiles(done, out, placed=True)
+    found = sorted((tmp_path / "level2").rglob("*.parquet"))
+    n = done.rdd.getNumPartitions()
+    # As many files as buckets and one more at most for each folder, and one for the cast that lies in two.
+    assert n > 9 and n <= len(found) <= n + 5
+    want = jobs.process_casts(rows, size=None).join(entries, "cast_id")
+
+    def plain(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(want.columns).collect()), key=str)
+
+    assert sorted(done.columns) == sorted(want.columns)
+    assert plain(spark.read.parquet(out)) == plain(want) and spark.read.parquet(out).where("cast_id = 'c8'").select("campaign").distinct().count() == 2
+    few = jobs.MOST_KEYS
+    try:
+        jobs.MOST_KEYS = 0
+        assert plain(jobs.process_for_sink(rows, entries, ["campaign"])) == plain(want)
+    finally:
+        jobs.MOST_KEYS = few
