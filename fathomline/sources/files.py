@@ -109,7 +109,7 @@ def tree_lines(spark, root, extensions=CAST_EXTENSIONS):
 def file_lines(listing, keep=(), whole_bytes=WHOLE_BYTES):
     """``(path, modified, *keep, line_no, row_no, line)`` of the files of a listing (``file_manifest``), as a stage table.
 
-    ``keep`` names columns of the listing that its lines carry; lines that have them in common lie together. A file of up to
+    ``keep`` names columns of the listing that its lines carry; a task's lines that have them in common lie together. A file of up to
     ``whole_bytes`` is read by one task, which then knows its encoding and its lines' numbers; what is longer is read as
     ``numbered_lines`` of byte ranges.
     """
@@ -117,7 +117,8 @@ def file_lines(listing, keep=(), whole_bytes=WHOLE_BYTES):
     n, size, longest = listing.agg(F.count("*"), F.sum("length"), F.max("length")).first()
     tasks = max(1, -(-((size or 0) + n * OPEN_BYTES) // TASK_BYTES))
     small = listing.where(F.col("length") <= whole_bytes).select("path", F.col("modificationTime").alias("modified"), *keep)
-    small = small.repartitionByRange(tasks, *keep, "path").sortWithinPartitions(*keep, "path")
+    # By hash: ranges would need a sample of the paths on the driver.
+    small = small.repartition(tasks, "path").sortWithinPartitions(*keep, "path")
     shape = ", ".join([*(f"`{c}` {t}" for c, t in small.dtypes), "line_no bigint", "row_no bigint", "line string"])
     lines = small.mapInArrow(_whole_files, shape)
     if (longest or 0) > whole_bytes:
